@@ -1,0 +1,212 @@
+"""A table kept at one row per key while changes arrive in batches.
+
+For file systems without a lake format that knows MERGE (see ``changeloom.streaming.merge`` for those). The folder has
+
+* ``changes/<writer>/<batch>``: the last change per key of one batch, written once and overwritten if the batch is
+  run again;
+* ``base/<n>``: the merged state up to some point, bucketed by key.
+
+The state is the base and all changes, the highest ``_seq`` per key winning, so applying a change twice or late makes
+no difference. A folder counts once Spark has put its ``_SUCCESS`` file there; a job that dies leaves nothing visible.
+Reading joins the base, which is not shuffled because its files are bucketed by the key, with the merged changes, of
+which there are few: once they reach ``compact_at`` of the base's size, ``compact`` writes a new base. The cost of a
+new base is thereby spread over that share of changed rows. Deleted keys stay as tombstones, so that a replayed older
+change cannot bring them back.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from changeloom import files
+from changeloom.operators.changes import OP, SEQ, live, merge_latest
+
+Batch = tuple[str, int]
+
+
+class KeyedTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: Sequence[str],
+        row: StructType,
+        *,
+        buckets: int = 8,
+        compact_at: float = 0.25,
+        keep_changes: int = 64,
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.key = tuple(key)
+        self.row = row
+        self.buckets = buckets
+        self.compact_at = compact_at
+        self.keep_changes = keep_changes
+        fields = {f.name: f for f in row.fields}
+        self.stored = StructType(
+            [fields[k] for k in self.key]
+            + [f for f in row.fields if f.name not in self.key]
+            + [StructField(OP, StringType()), StructField(SEQ, LongType())]
+        )
+
+    # Writing
+
+    def put(self, latest: DataFrame, writer: str, batch: int) -> DataFrame:
+        """Store one batch (one row per key, as from ``latest_per_key``) and return it as read back from disk."""
+        path = self._batch_path((writer, batch))
+        latest.select(*self.stored.fieldNames()).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.stored).parquet(path)
+
+    def compact(self, force: bool = False, without: Batch | None = None) -> bool:
+        """Write a new base if the changes have grown to their share of the base, or in number.
+
+        Call it between batches, with the batch about to run in ``without``: that one may still be overwritten, so
+        it must not become part of the base. The previous base and the changes merged into it stay for readers that
+        started on them, and go with the next compaction.
+        """
+        base, folded = self._base()
+        batches = [b for b in self._batches() if b != without and self._batch_path(b) not in folded]
+        if not batches:
+            return False
+        pending = sum(files.size(self.spark, self._batch_path(b)) for b in batches)
+        settled = files.size(self.spark, self._base_path(base)) if base is not None else 0
+        if not force and pending < self.compact_at * settled and len(batches) < self.keep_changes:
+            return False
+        following = 0 if base is None else base + 1
+        state = self._merge(base, batches)
+        if base is None:
+            state = state.repartition(self.buckets, *self.key)
+        self._write_base(state, following)
+        merged = [self._batch_path(b) for b in batches]
+        self.spark.createDataFrame([(p,) for p in merged], "path string").coalesce(1).write.mode("overwrite").text(
+            f"{self._base_path(following)}/_folded"
+        )
+        for stale in folded:
+            files.delete(self.spark, stale)
+        for name in files.children(self.spark, f"{self.path}/base"):
+            if name.isdigit() and base is not None and int(name) < base:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(int(name))}")
+                files.delete(self.spark, self._base_path(int(name)))
+        return True
+
+    # Reading
+
+    def state(self, without: Batch | None = None) -> DataFrame:
+        """All keys with ``_op`` and ``_seq``, tombstones included; optionally as if one batch had not been stored."""
+        base, folded = self._base()
+        return self._merge(base, [b for b in self._batches() if b != without and self._batch_path(b) not in folded])
+
+    def current(self) -> DataFrame:
+        """The rows that exist."""
+        return live(self.state(), self.row)
+
+    def lookup(self, keys: DataFrame, without: Batch | None = None) -> DataFrame:
+        """The state of some keys. Only rows of these keys leave the scans; the base stays where it is."""
+        wanted = keys.select(*self.key)
+        base, folded = self._base()
+        paths = [
+            self._batch_path(b) for b in self._batches() if b != without and self._batch_path(b) not in folded
+        ]
+        found = []
+        if base is not None:
+            found.append(self._read_base(base).join(wanted, list(self.key), "left_semi"))
+        if paths:
+            newer = self.spark.read.schema(self.stored).parquet(*paths)
+            found.append(newer.join(wanted, list(self.key), "left_semi"))
+        if not found:
+            return self.spark.createDataFrame([], self.stored)
+        rows = reduce(DataFrame.unionByName, found)
+        return rows if len(found) == 1 and not paths else merge_latest(rows, self.key)
+
+    def _merge(self, base: int | None, batches: list[Batch]) -> DataFrame:
+        if base is None and not batches:
+            return self.spark.createDataFrame([], self.stored)
+        if not batches:
+            return self._read_base(base)
+        paths = [self._batch_path(b) for b in batches]
+        newer = self.spark.read.schema(self.stored).parquet(*paths)
+        if len(batches) > 1 or base is None:
+            newer = merge_latest(newer, self.key)
+        if base is None:
+            return newer
+        old = self._read_base(base).alias("old")
+        # A hash table of the few changes of a bucket; the base streams past it unsorted.
+        new = newer.alias("new").hint("shuffle_hash")
+        same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in self.key]
+        take_new = F.col(f"old.{SEQ}").isNull() | (F.col(f"new.{SEQ}") > F.col(f"old.{SEQ}"))
+        joined = old.join(new, same, "full_outer")
+        chosen = [
+            F.coalesce(F.col(f"old.{c}"), F.col(f"new.{c}")).alias(c)
+            if c in self.key
+            else F.when(take_new, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
+            for c in self.stored.fieldNames()
+        ]
+        return joined.select(*chosen)
+
+    # Folders
+
+    def _batch_path(self, batch: Batch) -> str:
+        return f"{self.path}/changes/{batch[0]}/{batch[1]}"
+
+    def _base_path(self, number: int) -> str:
+        return f"{self.path}/base/{number}"
+
+    def _batches(self) -> list[Batch]:
+        found = []
+        for writer in files.children(self.spark, f"{self.path}/changes"):
+            for name in files.children(self.spark, f"{self.path}/changes/{writer}"):
+                if name.isdigit() and files.written(self.spark, self._batch_path((writer, int(name)))):
+                    found.append((writer, int(name)))
+        return found
+
+    def _base(self) -> tuple[int | None, set[str]]:
+        """Number of the newest complete base and the changes known to be in it.
+
+        The list of these changes only saves work: merging a change again gives the same state.
+        """
+        numbers = [
+            int(name)
+            for name in files.children(self.spark, f"{self.path}/base")
+            if name.isdigit() and files.written(self.spark, self._base_path(int(name)))
+        ]
+        if not numbers:
+            return None, set()
+        newest = max(numbers)
+        folded = f"{self._base_path(newest)}/_folded"
+        if not files.written(self.spark, folded):
+            return newest, set()
+        return newest, {row.value for row in self.spark.read.text(folded).collect()}
+
+    # The base as a bucketed table of the session catalogue
+
+    def _table_name(self, number: int) -> str:
+        return f"keyed_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{number}"
+
+    def _write_base(self, state: DataFrame, number: int) -> None:
+        name = self._table_name(number)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (
+            state.select(*self.stored.fieldNames())
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(self.buckets, *self.key)
+            .option("path", self._base_path(number))
+            .saveAsTable(name)
+        )
+
+    def _read_base(self, number: int) -> DataFrame:
+        name = self._table_name(number)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored.fields)
+            keys = ", ".join(f"`{k}`" for k in self.key)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{self._base_path(number)}'"
+            )
+        return self.spark.table(name)

@@ -1,0 +1,102 @@
+"""Change logs into keyed tables, continuously."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from changeloom.operators.changes import latest_per_key
+from changeloom.operators.keyed_table import KeyedTable
+from changeloom.registry import Registry, Table
+from changeloom.sources.changelog import bad_messages, changes
+
+EVERY_MINUTE = {"processingTime": "60 seconds"}
+
+
+def keyed_tables(spark: SparkSession, root: str, registry: Registry, **options) -> dict[str, KeyedTable]:
+    """The targets of a registry below one folder, by captured name."""
+    return {
+        t.name: KeyedTable(spark, f"{root}/{t.sink}", t.key, t.target_type(spark), **options) for t in registry
+    }
+
+
+def writer_of(batch: DataFrame) -> str:
+    """Name of the running query that survives restarts, as long as its checkpoint does."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def apply_batch(
+    log: DataFrame,
+    table: Table,
+    target: KeyedTable,
+    writer: str,
+    batch: int,
+    on_bad: str = "raise",
+) -> None:
+    """Bring one batch of raw messages into one target. Running it again has no further effect."""
+    target.compact(without=(writer, batch))
+    latest = latest_per_key(changes(log, table, on_bad), table.key, table.row_type)
+    target.put(table.project_latest(latest), writer, batch)
+
+
+def replicate(
+    log: DataFrame,
+    registry: Registry,
+    targets: Mapping[str, KeyedTable],
+    checkpoint: str,
+    *,
+    trigger: Mapping[str, object] = EVERY_MINUTE,
+    on_bad: str = "raise",
+    dead_letters: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """One streaming query that keeps all targets of ``registry`` up to date with ``log``.
+
+    Spark records the offsets of a batch before it runs and marks it done afterwards. A batch cut short runs again
+    over the same messages and overwrites what it left, per target, so the targets need no common commit.
+    With ``on_bad="skip"`` unreadable messages are kept in ``dead_letters``.
+    """
+    if (on_bad == "skip") != (dead_letters is not None):
+        raise ValueError("dead_letters is where on_bad='skip' keeps unreadable messages; give both or neither")
+
+    def write(batch: DataFrame, number: int) -> None:
+        writer = writer_of(batch)
+        shared = len(registry) > 1 or dead_letters is not None
+        if shared:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for table in registry:
+                own = batch.where(F.col("topic") == registry.topic(table))
+                apply_batch(own, table, targets[table.name], writer, number, on_bad)
+                if dead_letters is not None:
+                    bad_messages(own, table).write.mode("overwrite").parquet(
+                        f"{dead_letters}/{table.name}/{writer}/{number}"
+                    )
+        finally:
+            if shared:
+                batch.unpersist()
+
+    stream = log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return (stream.queryName(name) if name else stream).start()
+
+
+def replicate_groups(
+    source: Callable[[Registry], DataFrame],
+    registry: Registry,
+    targets: Mapping[str, KeyedTable],
+    checkpoint: str,
+    *,
+    group_size: int = 5,
+    **options,
+) -> list[StreamingQuery]:
+    """One query per ``group_size`` tables, each with its own checkpoint; size 1 gives one query per table.
+
+    ``source`` opens the log of a group, e.g. ``lambda group: kafka_log(spark, servers, group)``.
+    """
+    return [
+        replicate(source(group), group, targets, f"{checkpoint}/{number}", **options)
+        for number, group in enumerate(registry.groups(group_size))
+    ]

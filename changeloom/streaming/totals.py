@@ -1,0 +1,168 @@
+"""Grouped totals that follow a changing table.
+
+A sum and a count can give back what a replaced row had added; a maximum cannot. A batch therefore costs its own rows:
+the old images of its keys are looked up, old and new images become weighted rows, and their sums are added to the
+stored totals. Only groups that lost the very row holding their maximum are read again from the source table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
+
+from changeloom.functions.tiers import HIGH_VALUE_FROM, VIP_FROM, value_tier
+from changeloom.operators.changes import OP, SEQ, latest_per_key
+from changeloom.operators.keyed_table import Batch, KeyedTable
+from changeloom.registry import Table
+from changeloom.sources.changelog import changes
+from changeloom.streaming.replicate import EVERY_MINUTE, writer_of
+
+TOTAL, COUNT, LAST = "total_amount", "order_count", "last_order_at"
+
+
+@dataclass
+class GroupTotals:
+    """Sum of ``measure``, number of rows and maximum of ``latest`` per ``group`` of ``source``, kept in ``totals``."""
+
+    table: Table
+    source: KeyedTable
+    totals: KeyedTable
+    group: str
+    measure: str
+    latest: str
+
+    @classmethod
+    def below(
+        cls, spark: SparkSession, root: str, table: Table, group: str, measure: str, latest: str, **options
+    ) -> "GroupTotals":
+        row = table.row_type
+        source = KeyedTable(spark, f"{root}/{table.sink}", table.key, row, **options)
+        kept = StructType(
+            [row[group], StructField(TOTAL, LongType()), StructField(COUNT, LongType()), StructField(LAST, row[latest].dataType)]
+        )
+        return cls(table, source, KeyedTable(spark, f"{root}/totals", (group,), kept, **options), group, measure, latest)
+
+    def apply(self, log: DataFrame, writer: str, batch: int, on_bad: str = "raise") -> None:
+        """Bring one batch of raw messages into source and totals.
+
+        Everything is computed from the state without this batch, so a batch that was cut short can run again.
+        """
+        here = (writer, batch)
+        self.source.compact(without=here)
+        self.totals.compact(without=here)
+        latest = latest_per_key(changes(log, self.table, on_bad), self.table.key, self.table.row_type)
+        fresh = self.source.put(latest, writer, batch)
+        delta = self._delta(fresh, self.source.lookup(fresh, without=here)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.totals.put(self._updated(delta, here), writer, batch)
+        finally:
+            delta.unpersist()
+
+    def current(self) -> DataFrame:
+        return self.totals.current()
+
+    def rebuild(self, writer: str, batch: int = 0) -> None:
+        """Compute the totals anew from the source, e.g. after its checkpoint was lost in the middle of a batch."""
+        rows = self.source.current().where(self._counts(""))
+        computed = rows.groupBy(self.group).agg(
+            F.sum(self.measure).cast("bigint").alias(TOTAL), F.count(F.lit(1)).alias(COUNT), F.max(self.latest).alias(LAST)
+        )
+        stored = self.totals.state().select(self.group, F.col(SEQ).alias("seen"))
+        every = computed.join(stored, self.group, "full_outer")
+        self.totals.put(
+            every.select(
+                self.group,
+                F.coalesce(TOTAL, F.lit(0)).cast("bigint").alias(TOTAL),
+                F.coalesce(COUNT, F.lit(0)).cast("bigint").alias(COUNT),
+                LAST,
+                F.when(F.col(COUNT) > 0, "u").otherwise("d").alias(OP),
+                (F.coalesce("seen", F.lit(0)) + 1).cast("bigint").alias(SEQ),
+            ),
+            writer,
+            batch,
+        )
+
+    def _counts(self, side: str) -> Column:
+        return F.col(f"{side}{self.group}").isNotNull() & F.col(f"{side}{self.measure}").isNotNull()
+
+    def _delta(self, fresh: DataFrame, known: DataFrame) -> DataFrame:
+        """What the batch adds to each group, and the largest ``latest`` it brings and takes away."""
+        same = [F.col(f"new.{k}") == F.col(f"old.{k}") for k in self.table.key]
+        pairs = fresh.alias("new").join(known.alias("old"), same, "left")
+        newer = pairs.where(F.col(f"old.{SEQ}").isNull() | (F.col(f"new.{SEQ}") > F.col(f"old.{SEQ}")))
+
+        def image(side: str, weight: int) -> Column:
+            there = F.coalesce((F.col(f"{side}.{OP}") != "d") & self._counts(f"{side}."), F.lit(False))
+            return F.when(
+                there,
+                F.struct(
+                    F.lit(weight).cast("bigint").alias("w"),
+                    F.col(f"{side}.{self.group}").alias("g"),
+                    F.col(f"{side}.{self.measure}").alias("m"),
+                    F.col(f"{side}.{self.latest}").alias("at"),
+                ),
+            )
+
+        images = newer.select(F.explode(F.array(image("old", -1), image("new", 1))).alias("i")).where(
+            F.col("i").isNotNull()
+        )
+        return images.groupBy(F.col("i.g").alias(self.group)).agg(
+            F.sum(F.col("i.w") * F.col("i.m")).alias("add"),
+            F.sum("i.w").alias("more"),
+            F.max(F.when(F.col("i.w") > 0, F.col("i.at"))).alias("brought"),
+            F.max(F.when(F.col("i.w") < 0, F.col("i.at"))).alias("taken"),
+        )
+
+    def _updated(self, delta: DataFrame, here: Batch) -> DataFrame:
+        """New totals of the touched groups. Emptied groups become tombstones."""
+        stored = self.totals.lookup(delta, without=here).withColumnRenamed(OP, "was").withColumnRenamed(SEQ, "seen")
+        joined = delta.join(stored, self.group, "left")
+        lost = F.coalesce(
+            (F.col("taken") >= F.col(LAST)) & (F.col("brought").isNull() | (F.col("brought") < F.col("taken"))),
+            F.lit(False),
+        )
+        count = (F.coalesce(COUNT, F.lit(0)) + F.col("more")).cast("bigint")
+        updated = joined.select(
+            self.group,
+            (F.coalesce(TOTAL, F.lit(0)) + F.col("add")).cast("bigint").alias(TOTAL),
+            count.alias(COUNT),
+            F.greatest(F.when(F.col("was") != "d", F.col(LAST)), F.col("brought")).alias(LAST),
+            F.when(count > 0, "u").otherwise("d").alias(OP),
+            (F.coalesce("seen", F.lit(0)) + 1).cast("bigint").alias(SEQ),
+            (lost & (count > 0)).alias("lost"),
+        )
+        groups = updated.where("lost").select(self.group)
+        if groups.isEmpty():
+            return updated.drop("lost")
+        rows = self.source.current().where(self._counts("")).join(groups, self.group, "left_semi")
+        again = rows.groupBy(self.group).agg(F.max(self.latest).alias("found"))
+        fixed = updated.join(again, self.group, "left")
+        return fixed.withColumn(LAST, F.when(F.col("lost"), F.col("found")).otherwise(F.col(LAST))).drop("lost", "found")
+
+
+def follow(
+    log: DataFrame,
+    totals: GroupTotals,
+    checkpoint: str,
+    *,
+    trigger: Mapping[str, object] = EVERY_MINUTE,
+    on_bad: str = "raise",
+) -> StreamingQuery:
+    """A streaming query that keeps source and totals up to date with the log of one table."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        totals.apply(batch, writer_of(batch), number, on_bad)
+
+    return log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def order_summary(totals: GroupTotals, vip: int = VIP_FROM, high: int = HIGH_VALUE_FROM) -> DataFrame:
+    """The totals of orders per customer with their value tier."""
+    return totals.current().select(
+        totals.group, TOTAL, COUNT, value_tier(F.col(TOTAL), vip, high).alias("status"), LAST
+    )
