@@ -37,38 +37,30 @@ def build(views: Iterable[View], tables: Tables) -> dict[str, DataFrame]:
     """All views over ``tables``, those that read other views after them."""
     by_name = {view.name: view for view in views}
     made: dict[str, DataFrame] = dict(tables)
-    for name in _ordered(by_name):
+    order = _ordered(by_name)
+    for name in order:
         view = by_name[name]
         made[name] = view.build(*[made[source] for source in view.needs])
-    return {name: made[name] for name in by_name}
+    return {name: made[name] for name in order}
 
 
-def register(spark: SparkSession, views: Iterable[View], tables: Tables) -> list[str]:
+def register(spark: SparkSession, views: Iterable[View], tables: Tables, prefix: str = "") -> list[str]:
     """Make tables and views available to ``spark.sql``; returns the names in creation order."""
     views = list(views)
     built = build(views, tables)
-    created = []
-    for name, frame in tables.items():
-        if name not in built:
-            frame.createOrReplaceTempView(name)
-            created.append(name)
-    by_name = {view.name: view for view in views}
-    for name in _ordered(by_name):
-        built[name].createOrReplaceTempView(name)
-        created.append(name)
-    return created
+    frames = {name: frame for name, frame in tables.items() if name not in built} | built
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in frames]
 
 
-def rebuild(spark: SparkSession, views: Iterable[View], tables: Tables) -> list[str]:
+def rebuild(spark: SparkSession, views: Iterable[View], tables: Tables, prefix: str = "") -> list[str]:
     """Drop everything, dependants first, and create it again over the present tables."""
     views = list(views)
-    names = _ordered({view.name: view for view in views})
-    for name in reversed(names):
-        spark.catalog.dropTempView(name)
-    for name in tables:
-        if name not in names:
-            spark.catalog.dropTempView(name)
-    return register(spark, views, tables)
+    order = _ordered({view.name: view for view in views})
+    for name in [*reversed(order), *(t for t in tables if t not in order)]:
+        spark.catalog.dropTempView(prefix + name)
+    return register(spark, views, tables, prefix)
 
 
 def table_counts(frames: Tables) -> DataFrame:
