@@ -18,9 +18,12 @@ class Source:
         # Times without a zone are read as UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     # Personnel
 

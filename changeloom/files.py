@@ -42,3 +42,28 @@ def written(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or absent: it is written under another name first."""
+    fs, target = _open(spark, path)
+    part = target.suffix(".part")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file written by ``write_text``; None if there is none."""
+    fs, target = _open(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -17,10 +17,11 @@ def latest_per_key(changes: DataFrame, key: Sequence[str], row: StructType) -> D
     task through the exchange. The value columns of a deleted row are NULL.
     """
     values = [f for f in row.fieldNames() if f not in key]
-    image = F.struct(F.col("op"), F.when(F.col("op") != "d", F.col("after")).alias("row"))
-    last = changes.groupBy(*key).agg(F.max_by(image, "offset").alias("last"), F.max("offset").alias(SEQ))
-    return last.select(
-        *key, *[F.col(f"last.row.{v}").alias(v) for v in values], F.col("last.op").alias(OP), SEQ
+    last = changes.groupBy(*key).agg(
+        F.expr("max_by(struct(op, if(op = 'd', NULL, after) AS row), offset) AS last"), F.max("offset").alias(SEQ)
+    )
+    return last.selectExpr(
+        *[f"`{k}`" for k in key], *[f"last.row.`{v}` AS `{v}`" for v in values], f"last.op AS {OP}", SEQ
     )
 
 
@@ -28,12 +29,12 @@ def merge_latest(versions: DataFrame, key: Sequence[str]) -> DataFrame:
     """The version with the highest ``_seq`` of every key, for rows that already have the state form."""
     rest = [c for c in versions.columns if c not in key and c != SEQ]
     last = versions.groupBy(*key).agg(F.max_by(F.struct(*rest), SEQ).alias("last"), F.max(SEQ).alias(SEQ))
-    return last.select(*key, *[F.col(f"last.{c}").alias(c) for c in rest], SEQ).select(*versions.columns)
+    return last.selectExpr(*[f"last.`{c}` AS `{c}`" if c in rest else f"`{c}`" for c in versions.columns])
 
 
 def live(state: DataFrame, row: StructType) -> DataFrame:
     """The rows that exist, without bookkeeping columns."""
-    return state.where(F.col(OP) != "d").select(*row.fieldNames())
+    return state.where(f"{OP} <> 'd'").select(*row.fieldNames())
 
 
 def current_rows(changes: DataFrame, key: Sequence[str], row: StructType) -> DataFrame:
@@ -47,13 +48,13 @@ def weighted(changes: DataFrame, row: StructType) -> DataFrame:
     Sums and counts over the weights follow updates and deletes. Needs complete ``before`` images; where a source
     does not send them, take the old images from a keyed table instead (``changeloom.streaming.totals``).
     """
-    old = F.struct(F.lit(-1).cast("bigint").alias("weight"), F.col("before").alias("row"))
-    new = F.struct(F.lit(1).cast("bigint").alias("weight"), F.col("after").alias("row"))
-    images = (
-        F.when(F.col("op").isin("r", "c"), F.array(new)).when(F.col("op") == "u", F.array(old, new)).otherwise(F.array(old))
+    old, new = "struct(-1L AS weight, before AS row)", "struct(1L AS weight, after AS row)"
+    images = f"CASE op WHEN 'u' THEN array({old}, {new}) WHEN 'd' THEN array({old}) ELSE array({new}) END"
+    return (
+        changes.selectExpr(f"explode({images}) AS image")
+        .where("image.row IS NOT NULL")
+        .selectExpr("image.weight AS weight", *[f"image.row.`{c}` AS `{c}`" for c in row.fieldNames()])
     )
-    pairs = changes.select(F.explode(images).alias("pair")).where(F.col("pair.row").isNotNull())
-    return pairs.select(F.col("pair.weight").alias("weight"), *[F.col(f"pair.row.{c}").alias(c) for c in row.fieldNames()])
 
 
 def weighted_sum(column: Column) -> Column:

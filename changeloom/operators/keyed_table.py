@@ -9,8 +9,8 @@ For file systems without a lake format that knows MERGE (see ``changeloom.stream
 The state is the base and all changes, the highest ``_seq`` per key winning, so applying a change twice or late makes
 no difference. A folder counts once Spark has put its ``_SUCCESS`` file there; a job that dies leaves nothing visible.
 Reading joins the base, which is not shuffled because its files are bucketed by the key, with the merged changes, of
-which there are few: once they reach ``compact_at`` of the base's size, ``compact`` writes a new base. The cost of a
-new base is thereby spread over that share of changed rows. Deleted keys stay as tombstones, so that a replayed older
+which there are few: once they reach ``compact_at`` of the base's size and ``compact_from`` bytes, or ``keep_changes``
+batches, ``compact`` writes a new base. The cost of a new base is thereby spread over many changed rows. Deleted keys stay as tombstones, so that a replayed older
 change cannot bring them back.
 """
 
@@ -39,6 +39,7 @@ class KeyedTable:
         *,
         buckets: int = 8,
         compact_at: float = 0.25,
+        compact_from: int = 64 << 20,
         keep_changes: int = 64,
     ):
         self.spark = spark
@@ -47,6 +48,7 @@ class KeyedTable:
         self.row = row
         self.buckets = buckets
         self.compact_at = compact_at
+        self.compact_from = compact_from
         self.keep_changes = keep_changes
         fields = {f.name: f for f in row.fields}
         self.stored = StructType(
@@ -76,17 +78,16 @@ class KeyedTable:
             return False
         pending = sum(files.size(self.spark, self._batch_path(b)) for b in batches)
         settled = files.size(self.spark, self._base_path(base)) if base is not None else 0
-        if not force and pending < self.compact_at * settled and len(batches) < self.keep_changes:
+        due = pending >= max(self.compact_at * settled, self.compact_from) or len(batches) >= self.keep_changes
+        if not (due or force):
             return False
         following = 0 if base is None else base + 1
         state = self._merge(base, batches)
         if base is None:
             state = state.repartition(self.buckets, *self.key)
         self._write_base(state, following)
-        merged = [self._batch_path(b) for b in batches]
-        self.spark.createDataFrame([(p,) for p in merged], "path string").coalesce(1).write.mode("overwrite").text(
-            f"{self._base_path(following)}/_folded"
-        )
+        merged = "\n".join(self._batch_path(b) for b in batches)
+        files.write_text(self.spark, f"{self._base_path(following)}/_folded", merged)
         for stale in folded:
             files.delete(self.spark, stale)
         for name in files.children(self.spark, f"{self.path}/base"):
@@ -178,10 +179,8 @@ class KeyedTable:
         if not numbers:
             return None, set()
         newest = max(numbers)
-        folded = f"{self._base_path(newest)}/_folded"
-        if not files.written(self.spark, folded):
-            return newest, set()
-        return newest, {row.value for row in self.spark.read.text(folded).collect()}
+        folded = files.read_text(self.spark, f"{self._base_path(newest)}/_folded")
+        return newest, set((folded or "").splitlines())
 
     # The base as a bucketed table of the session catalogue
 

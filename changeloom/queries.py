@@ -61,17 +61,17 @@ def _summary_versions(s: Source) -> DataFrame:
 
 
 def _store_log(s: Source, log: DataFrame, slices: int = 6) -> tuple[str, int]:
-    """Keep a log as files in offset order; returns the folder and the files of a third of it."""
+    """Keep a log as files in offset order; returns the folder and the number of files that make half of it."""
     path = work_path(s.spark, "log")
     parts = max(slices, int(s.spark.conf.get("spark.sql.shuffle.partitions")))
     log.repartitionByRange(parts, "offset", F.xxhash64("value")).write.parquet(path)
     count = sum(name.endswith(".parquet") for name in files.children(s.spark, path))
-    return path, -(-count // 3)
+    return path, -(-count // 2)
 
 
 def _stream(s: Source, log: DataFrame) -> Callable[[], DataFrame]:
-    path, third = _store_log(s, log)
-    return lambda: file_log(s.spark, path, format="parquet", max_files=third)
+    path, half = _store_log(s, log)
+    return lambda: file_log(s.spark, path, format="parquet", max_files=half)
 
 
 def _targets(s: Source, registry: Registry):

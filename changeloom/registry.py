@@ -8,7 +8,7 @@ from __future__ import annotations
 import fnmatch
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
-from functools import partial, reduce
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -36,7 +36,7 @@ class Table:
     def sink(self) -> str:
         return self.target or self.name
 
-    @property
+    @cached_property
     def row_type(self) -> StructType:
         if not self.columns:
             raise ValueError(f"table {self.name!r} has no columns; resolve it against a column catalogue first")
@@ -51,7 +51,7 @@ class Table:
     def wanted(self) -> Column:
         """Whether a captured row belongs in the target."""
         names = self.key if self.required is None else self.required
-        return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names], F.lit(True))
+        return F.expr(" AND ".join(f"`{n}` IS NOT NULL" for n in names) or "true")
 
     def project(self, rows: DataFrame) -> DataFrame:
         """Captured rows to target rows."""

@@ -5,11 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "changeloom", cores: int | str = "*", partitions: int | None = None) -> SparkSession:
+def build_session(
+    app: str = "changeloom",
+    cores: int | str = "*",
+    partitions: int | None = None,
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session with the settings the jobs expect; a cluster sets the same ones at submit time."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -22,6 +28,8 @@ def build_session(app: str = "changeloom", cores: int | str = "*", partitions: i
     )
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
@@ -36,9 +44,12 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="changeloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"changeloom-{application}-")
 
 
 def work_path(spark: SparkSession, name: str) -> str:

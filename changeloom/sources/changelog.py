@@ -7,8 +7,6 @@ and ``after``, and its ``partition`` and ``offset``. The order of changes to a k
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -103,25 +101,22 @@ def parse(log: DataFrame, table: Table) -> DataFrame:
         ]
     )
     both = StructType([StructField("payload", body), *body.fields, StructField("_unread", StringType())])
-    decoded = log.where(F.col("value").isNotNull()).select(
+    decoded = log.where("value IS NOT NULL").select(
         "topic",
         "partition",
         "offset",
         "value",
         F.from_json("value", both, {"columnNameOfCorruptRecord": "_unread"}).alias("m"),
     )
-    pick = {name: F.coalesce(F.col(f"m.payload.{name}"), F.col(f"m.{name}")) for name in body.fieldNames()}
-    image = F.when(pick["op"] == "d", pick["before"]).otherwise(pick["after"])
-    bad = (
-        F.col("m._unread").isNotNull() | pick["op"].isNull() | ~pick["op"].isin(*OPS) | image.isNull()
-    )
-    return decoded.select(
+    parts = [f"coalesce(m.payload.{name}, m.{name}) AS {name}" for name in body.fieldNames()]
+    known = ", ".join(f"'{op}'" for op in OPS)
+    return decoded.selectExpr("topic", "partition", "offset", "value", *parts, "m._unread AS unread").selectExpr(
         "topic",
         "partition",
         "offset",
         "value",
-        *[column.alias(name) for name, column in pick.items()],
-        F.coalesce(bad, F.lit(True)).alias("bad"),
+        *body.fieldNames(),
+        f"unread IS NOT NULL OR op IS NULL OR op NOT IN ({known}) OR if(op = 'd', before, after) IS NULL AS bad",
     )
 
 
@@ -134,24 +129,16 @@ def changes(log: DataFrame, table: Table, on_bad: str = "raise") -> DataFrame:
     if on_bad not in ("raise", "skip"):
         raise ValueError(f"on_bad is 'raise' or 'skip', not {on_bad!r}")
     parsed = parse(log, table)
-    image_key = {k: F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in table.key}
-    keyed = reduce(lambda a, b: a & b, [column.isNotNull() for column in image_key.values()])
+    image_key = {k: f"coalesce(after.`{k}`, before.`{k}`)" for k in table.key}
+    keyed = " AND ".join(f"{column} IS NOT NULL" for column in image_key.values())
     if on_bad == "skip":
-        keep = ~F.col("bad") & keyed
+        keep = f"NOT bad AND {keyed}"
     else:
         # Part of the filter, so that no pruning or reordering can lose the check.
-        where = F.concat_ws("/", F.col("topic"), F.col("partition"), F.col("offset"))
-        failure = F.raise_error(F.concat(F.lit("unreadable change at "), where)).cast("boolean")
-        keep = F.when(F.col("bad"), failure).otherwise(keyed)
-    return parsed.where(keep).select(
-        *[column.alias(k) for k, column in image_key.items()],
-        "op",
-        "ts_ms",
-        "before",
-        "after",
-        "partition",
-        "offset",
-    )
+        failure = "raise_error(concat('unreadable change at ', concat_ws('/', topic, partition, offset)))"
+        keep = f"CASE WHEN bad THEN CAST({failure} AS boolean) ELSE {keyed} END"
+    keys = [f"{column} AS `{k}`" for k, column in image_key.items()]
+    return parsed.where(keep).selectExpr(*keys, "op", "ts_ms", "before", "after", "partition", "offset")
 
 
 def bad_messages(log: DataFrame, table: Table) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,7 +57,8 @@ def replicate(
     """One streaming query that keeps all targets of ``registry`` up to date with ``log``.
 
     Spark records the offsets of a batch before it runs and marks it done afterwards. A batch cut short runs again
-    over the same messages and overwrites what it left, per target, so the targets need no common commit.
+    over the same messages and overwrites what it left, per target, so the targets need no common commit. The targets
+    of a batch are written side by side, as one small table alone would leave most of a cluster idle.
     With ``on_bad="skip"`` unreadable messages are kept in ``dead_letters``.
     """
     if (on_bad == "skip") != (dead_letters is not None):
@@ -67,14 +69,20 @@ def replicate(
         shared = len(registry) > 1 or dead_letters is not None
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+
+        def one(table: Table) -> None:
+            own = batch.where(F.col("topic") == registry.topic(table))
+            apply_batch(own, table, targets[table.name], writer, number, on_bad)
+            if dead_letters is not None:
+                bad_messages(own, table).write.mode("overwrite").parquet(
+                    f"{dead_letters}/{table.name}/{writer}/{number}"
+                )
+
         try:
-            for table in registry:
-                own = batch.where(F.col("topic") == registry.topic(table))
-                apply_batch(own, table, targets[table.name], writer, number, on_bad)
-                if dead_letters is not None:
-                    bad_messages(own, table).write.mode("overwrite").parquet(
-                        f"{dead_letters}/{table.name}/{writer}/{number}"
-                    )
+            with ThreadPoolExecutor(max_workers=len(registry)) as pool:
+                for done in [pool.submit(inheritable_thread_target(spark)(one), table) for table in registry]:
+                    done.result()
         finally:
             if shared:
                 batch.unpersist()

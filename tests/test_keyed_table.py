@@ -1,0 +1,164 @@
+"""State stays the same however a log is cut, repeated, delayed or interrupted."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql.types import LongType, StringType, StructType
+
+from changeloom import files
+from changeloom.operators.keyed_table import KeyedTable
+
+ROW = StructType().add("k", LongType()).add("v", StringType()).add("n", LongType())
+
+
+def table(spark, folder, **options):
+    return KeyedTable(spark, folder, ["k"], ROW, buckets=4, **{"compact_from": 0, **options})
+
+
+def random_log(seed, size=120, keys=25):
+    rng = random.Random(seed)
+    log = []
+    for offset in range(size):
+        k = 0 if rng.random() < 1 / 3 else rng.randrange(keys)
+        gone = rng.random() < 0.25
+        log.append((k, None if gone else f"v{offset}", None if gone else offset, "d" if gone else "u", offset))
+    return log
+
+
+def expected(log):
+    last = {}
+    for row in log:
+        if row[0] not in last or row[4] >= last[row[0]][4]:
+            last[row[0]] = row
+    return {row[:3] for row in last.values() if row[3] != "d"}
+
+
+def batch(spark, rows, t):
+    last = {}
+    for row in rows:
+        if row[0] not in last or row[4] > last[row[0]][4]:
+            last[row[0]] = row
+    return spark.createDataFrame(list(last.values()), t.stored)
+
+
+def current(t):
+    return {tuple(r) for r in t.current().collect()}
+
+
+@pytest.mark.parametrize("parts, compact", [(1, False), (3, True), (6, True), (5, False)])
+def test_any_split_gives_the_same_state(spark, folder, parts, compact):
+    log, t = random_log(parts), table(spark, folder)
+    step = -(-len(log) // parts)
+    for number, start in enumerate(range(0, len(log), step)):
+        if compact:
+            t.compact(without=("w", number))
+        for _ in range(2):
+            t.put(batch(spark, log[start : start + step], t), "w", number)
+    assert current(t) == expected(log)
+    t.compact(force=True)
+    assert current(t) == expected(log)
+
+
+def test_late_and_repeated_changes_do_not_win(spark, folder):
+    log, t = random_log(7), table(spark, folder)
+    t.put(batch(spark, log[60:], t), "w", 0)
+    t.compact(force=True)
+    t.put(batch(spark, log[:60], t), "w", 1)
+    assert current(t) == expected(log)
+    t.compact(force=True)
+    t.put(batch(spark, log, t), "another", 0)
+    assert current(t) == expected(log)
+
+
+def test_replay_does_not_bring_back_a_deleted_row(spark, folder):
+    t = table(spark, folder)
+    t.put(batch(spark, [(1, "a", 1, "u", 1)], t), "w", 0)
+    t.put(batch(spark, [(1, None, None, "d", 2)], t), "w", 1)
+    t.compact(force=True)
+    t.put(batch(spark, [(1, "a", 1, "u", 1)], t), "replay", 0)
+    assert current(t) == set()
+
+
+def test_unfinished_batch_is_invisible(spark, folder):
+    t = table(spark, folder)
+    t.put(batch(spark, [(1, "a", 1, "u", 1)], t), "w", 0)
+    t.put(batch(spark, [(1, "b", 2, "u", 2)], t), "w", 1)
+    files.delete(spark, f"{folder}/changes/w/1/_SUCCESS")
+    assert current(t) == {(1, "a", 1)}
+    t.put(batch(spark, [(1, "c", 3, "u", 2)], t), "w", 1)
+    assert current(t) == {(1, "c", 3)}
+
+
+def test_unfinished_base_is_invisible(spark, folder):
+    log, t = random_log(3), table(spark, folder)
+    t.put(batch(spark, log[:60], t), "w", 0)
+    t.compact(force=True)
+    t.put(batch(spark, log[60:], t), "w", 1)
+    t.compact(force=True)
+    files.delete(spark, f"{folder}/base/1/_SUCCESS")
+    assert current(t) == expected(log)
+    t.compact(force=True)
+    assert current(t) == expected(log)
+
+
+def test_losing_the_list_of_merged_changes_is_harmless(spark, folder):
+    log, t = random_log(4), table(spark, folder)
+    t.put(batch(spark, log, t), "w", 0)
+    t.compact(force=True)
+    files.delete(spark, f"{folder}/base/0/_folded")
+    assert current(t) == expected(log)
+
+
+def test_running_batch_is_not_compacted(spark, folder):
+    t = table(spark, folder)
+    t.put(batch(spark, [(1, "a", 1, "u", 1)], t), "w", 0)
+    t.put(batch(spark, [(1, "b", 2, "u", 2)], t), "w", 1)
+    t.compact(force=True, without=("w", 1))
+    assert {tuple(r)[:3] for r in t.state(without=("w", 1)).collect()} == {(1, "a", 1)}
+    assert current(t) == {(1, "b", 2)}
+
+
+def test_old_files_go_with_the_next_compaction(spark, folder):
+    t = table(spark, folder)
+    for number in range(3):
+        t.put(batch(spark, [(number, "a", 1, "u", number)], t), "w", number)
+        t.compact(force=True)
+    assert files.children(spark, f"{folder}/base") == ["1", "2"]
+    assert files.children(spark, f"{folder}/changes/w") == ["2"]
+    assert len(current(t)) == 3
+
+
+def test_compaction_waits_for_enough_changes(spark, folder):
+    t = table(spark, folder, compact_from=1 << 20, keep_changes=3)
+    done = []
+    for number in range(4):
+        done.append(t.compact(without=("w", number)))
+        t.put(batch(spark, [(number, "a", 1, "u", number)], t), "w", number)
+    assert done == [False, False, False, True]
+    assert len(current(t)) == 4
+
+
+def test_lookup_returns_the_state_of_some_keys(spark, folder):
+    log, t = random_log(5), table(spark, folder)
+    t.put(batch(spark, log[:70], t), "w", 0)
+    t.compact(force=True)
+    t.put(batch(spark, log[70:], t), "w", 1)
+    keys = spark.createDataFrame([(k,) for k in range(0, 12)], "k bigint")
+    found = {tuple(r)[:3] for r in t.lookup(keys).where("_op <> 'd'").collect()}
+    assert found == {r for r in expected(log) if r[0] < 12}
+
+
+def test_another_session_state_reads_the_same(spark, folder):
+    log, t = random_log(6), table(spark, folder)
+    t.put(batch(spark, log, t), "w", 0)
+    t.compact(force=True)
+    spark.sql(f"DROP TABLE {t._table_name(0)}")
+    assert current(table(spark, folder)) == expected(log)
+
+
+def test_nothing_written_yet(spark, folder):
+    t = table(spark, folder)
+    assert current(t) == set() and not t.compact(force=True)
+    assert t.lookup(spark.createDataFrame([(1,)], "k bigint")).count() == 0
