@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from changeloom import files
 from changeloom.operators.changes import OP, SEQ, live, merge_latest
+from changeloom.session import empty_frame
 
 Batch = tuple[str, int]
 
@@ -68,8 +69,8 @@ class KeyedTable:
     def compact(self, force: bool = False, without: Batch | None = None) -> bool:
         """Write a new base if the changes have grown to their share of the base, or in number.
 
-        Call it between batches, with the batch about to run in ``without``: that one may still be overwritten, so
-        it must not become part of the base. The previous base and the changes merged into it stay for readers that
+        Call it between batches of the only writer, with the batch about to run in ``without``: that one may still
+        be overwritten, so it must not become part of the base. The previous base and the changes merged into it stay for readers that
         started on them, and go with the next compaction.
         """
         base, folded = self._base()
@@ -108,7 +109,7 @@ class KeyedTable:
         return live(self.state(), self.row)
 
     def lookup(self, keys: DataFrame, without: Batch | None = None) -> DataFrame:
-        """The state of some keys. Only rows of these keys leave the scans; the base stays where it is."""
+        """The state of some keys. Only rows of these keys leave the scans; the base stays where it is, unsorted."""
         wanted = keys.select(*self.key)
         base, folded = self._base()
         paths = [
@@ -116,18 +117,18 @@ class KeyedTable:
         ]
         found = []
         if base is not None:
-            found.append(self._read_base(base).join(wanted, list(self.key), "left_semi"))
+            found.append(self._read_base(base).join(wanted.hint("shuffle_hash"), list(self.key), "left_semi"))
         if paths:
             newer = self.spark.read.schema(self.stored).parquet(*paths)
             found.append(newer.join(wanted, list(self.key), "left_semi"))
         if not found:
-            return self.spark.createDataFrame([], self.stored)
+            return empty_frame(self.spark, self.stored)
         rows = reduce(DataFrame.unionByName, found)
         return rows if len(found) == 1 and not paths else merge_latest(rows, self.key)
 
     def _merge(self, base: int | None, batches: list[Batch]) -> DataFrame:
         if base is None and not batches:
-            return self.spark.createDataFrame([], self.stored)
+            return empty_frame(self.spark, self.stored)
         if not batches:
             return self._read_base(base)
         paths = [self._batch_path(b) for b in batches]

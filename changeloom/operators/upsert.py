@@ -94,10 +94,10 @@ def append(
     before = sizes.select(
         "_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before")
     )
-    highest = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("_max"))
-    offsets = F.broadcast(before.join(F.broadcast(highest)))
-    added = numbered.join(offsets, "_p").select(
-        (F.col("_max") + F.col("_before") + F.col("_i") + 1).cast(types[key]).alias(key), *wanted
+    highest = target.agg(F.max(key)).first()[0] or 0
+    # One row per partition.
+    added = numbered.join(F.broadcast(before), "_p").select(
+        (F.lit(highest) + F.col("_before") + F.col("_i") + 1).cast(types[key]).alias(key), *wanted
     )
     return target.unionByName(added)
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from dataclasses import replace
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom import files
+from changeloom import domains, files
 from changeloom.adapters import (
     HIGH,
     LOYAL,
@@ -96,7 +97,7 @@ def cdc_dead_letters(s: Source) -> DataFrame:
 def cdc_snapshot_then_changes(s: Source) -> DataFrame:
     """Orders as a snapshot, then their log: later changes win over the snapshot."""
     table = CRM["orders"]
-    snapshot = snapshot_log(s.orders().withColumn("amount", F.lit(0).cast("bigint")), table, CRM.topic(table))
+    snapshot = snapshot_log(s.spread(s.orders(), "orders").withColumn("amount", F.lit(0).cast("bigint")), table, CRM.topic(table))
     log = snapshot.unionByName(s.order_log(CRM))
     return current_rows(changes(log, table), table.key, table.row_type)
 
@@ -123,10 +124,10 @@ def stream_replicate(s: Source) -> DataFrame:
 
 def _hrm_log(s: Source, registry: Registry) -> DataFrame:
     rows = {
-        "employees": s.employees,
-        "attendance": s.attendance,
-        "leave_requests": s.leave_requests,
-        "payroll": s.payroll,
+        "employees": lambda: s.spread(s.employees(), "customer"),
+        "attendance": lambda: s.spread(s.attendance(), "events"),
+        "leave_requests": lambda: s.spread(s.leave_requests(), "orders"),
+        "payroll": lambda: s.spread(s.payroll(), "orders"),
     }
     logs = [snapshot_log(rows[t.name](), t, registry.topic(t), wrapped=t.name != "payroll") for t in registry]
     return reduce(DataFrame.unionByName, logs)
@@ -182,6 +183,28 @@ def stream_order_summary(s: Source) -> DataFrame:
     return group_totals.order_summary(kept, VIP, HIGH)
 
 
+def domain_sales(s: Source) -> DataFrame:
+    """The sales domain from its change logs to its published views."""
+    domain = replace(domains.SALES, summary=partial(group_totals.order_summary, vip=VIP, high=HIGH))
+    rows = {"customers": s.customers, "products": s.products, "order_items": s.order_items}
+    logs = [snapshot_log(s.spread(rows[t.name](), "lineitem"), t, CRM.topic(t)) for t in domain.copied]
+    log = _stream(s, reduce(DataFrame.unionByName, [*logs, s.order_log(CRM)]))
+    root, buckets = work_path(s.spark, "domain"), s.spark.sparkContext.defaultParallelism
+
+    def source(tables: Registry) -> DataFrame:
+        return log().where(F.col("topic").isin([tables.topic(t) for t in tables]))
+
+    running = domain.start(s.spark, source, root, work_path(s.spark, "checkpoint"), trigger=NOW, buckets=buckets)
+    for query in running:
+        query.awaitTermination()
+    domain.publish(s.spark, root, "live_", buckets=buckets)
+    return s.spark.sql(
+        "SELECT r.region, r.customer_count, r.total_revenue, r.total_orders, count(*) AS high_value "
+        "FROM live_regional_summary r JOIN live_customer_rfm f ON r.region = f.region "
+        "WHERE f.status = 'HIGH_VALUE' GROUP BY r.region, r.customer_count, r.total_revenue, r.total_orders"
+    )
+
+
 # Registry
 
 
@@ -190,7 +213,7 @@ def registry_replicate(s: Source) -> DataFrame:
     registry = generic_registry(s)
     reports = []
     for table in registry:
-        log = snapshot_log(captured(s.read(table.name)), table, registry.topic(table))
+        log = snapshot_log(captured(s.spread(s.read(table.name), table.name)), table, registry.topic(table))
         rows = table.project(current_rows(changes(log, table), table.key, table.row_type))
         key = F.concat_ws("/", *table.key)
         texts = [f.name for f in table.row_type.fields if f.dataType.simpleString() == "string" and f.name != "embedding"]
@@ -411,6 +434,7 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "stream_replicate_each": stream_replicate_each,
         "stream_attendance": stream_attendance,
         "stream_order_summary": stream_order_summary,
+        "domain_sales": domain_sales,
         "registry_replicate": registry_replicate,
         "registry_admin": registry_admin,
         "generic_projection": generic_projection,

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from changeloom.functions.times import to_time
 from changeloom.operators.changes import OP, SEQ
 from changeloom.plans import transforms
+from changeloom.session import empty_frame
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ class Table:
         return self.derive() if self.derive else [F.col(f"`{name}`") for name in self.row_type.fieldNames()]
 
     def target_type(self, spark: SparkSession) -> StructType:
-        return spark.createDataFrame([], self.row_type).select(*self.target_columns()).schema
+        return empty_frame(spark, self.row_type).select(*self.target_columns()).schema
 
     def wanted(self) -> Column:
         """Whether a captured row belongs in the target."""

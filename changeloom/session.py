@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def build_session(
@@ -23,6 +24,8 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Build a hash table of the smaller side of a partition where that is safe, instead of sorting both.
+        .config("spark.sql.join.preferSortMergeJoin", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
@@ -61,3 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable in sessions that did not set the folder at start."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(work_path(spark, "rdd"))
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, known as empty to the optimizer."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

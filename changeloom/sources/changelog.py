@@ -81,8 +81,9 @@ def envelope(op: Column, before: Column, after: Column, ts_ms: Column | None = N
 
 def message(body: Column, wrapped: bool = True) -> Column:
     """JSON text of an envelope, with or without the outer ``payload``."""
-    options = {"ignoreNullFields": "false"}
-    return F.to_json(F.struct(body.alias("payload")), options) if wrapped else F.to_json(body, options)
+    text = F.to_json(F.struct(body.alias("payload")) if wrapped else body, {"ignoreNullFields": "false"})
+    # Never NULL, and known as such, so that no filter has to make the text to find out.
+    return F.coalesce(text, F.lit(""))
 
 
 def parse(log: DataFrame, table: Table) -> DataFrame:
@@ -101,16 +102,18 @@ def parse(log: DataFrame, table: Table) -> DataFrame:
         ]
     )
     both = StructType([StructField("payload", body), *body.fields, StructField("_unread", StringType())])
+    # As rows of a generator, the decoded fields are computed once. As a plain column, the optimizer would move the
+    # decoding into every filter and field that refers to it.
     decoded = log.where("value IS NOT NULL").select(
         "topic",
         "partition",
         "offset",
         "value",
-        F.from_json("value", both, {"columnNameOfCorruptRecord": "_unread"}).alias("m"),
+        F.inline(F.array(F.from_json("value", both, {"columnNameOfCorruptRecord": "_unread"}))),
     )
-    parts = [f"coalesce(m.payload.{name}, m.{name}) AS {name}" for name in body.fieldNames()]
+    parts = [f"coalesce(payload.{name}, {name}) AS {name}" for name in body.fieldNames()]
     known = ", ".join(f"'{op}'" for op in OPS)
-    return decoded.selectExpr("topic", "partition", "offset", "value", *parts, "m._unread AS unread").selectExpr(
+    return decoded.selectExpr("topic", "partition", "offset", "value", *parts, "_unread AS unread").selectExpr(
         "topic",
         "partition",
         "offset",

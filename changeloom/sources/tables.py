@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from changeloom import files
 from changeloom.registry import Registry, Table
+from changeloom.session import empty_frame
 
 
 def scan(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -18,7 +19,7 @@ def scan(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not files.has_data(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 
