@@ -66,12 +66,15 @@ class KeyedTable:
         latest.select(*self.stored.fieldNames()).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.stored).parquet(path)
 
-    def compact(self, force: bool = False, without: Batch | None = None) -> bool:
+    def compact(
+        self, force: bool = False, without: Batch | None = None, forget_before: int | None = None
+    ) -> bool:
         """Write a new base if the changes have grown to their share of the base, or in number.
 
         Call it between batches of the only writer, with the batch about to run in ``without``: that one may still
         be overwritten, so it must not become part of the base. The previous base and the changes merged into it stay for readers that
-        started on them, and go with the next compaction.
+        started on them, and go with the next compaction. ``forget_before`` drops tombstones with a lower ``_seq``,
+        once changes that old can no longer be replayed.
         """
         base, folded = self._base()
         batches = [b for b in self._batches() if b != without and self._batch_path(b) not in folded]
@@ -84,6 +87,8 @@ class KeyedTable:
             return False
         following = 0 if base is None else base + 1
         state = self._merge(base, batches)
+        if forget_before is not None:
+            state = state.where(f"{OP} <> 'd' OR {SEQ} >= {int(forget_before)}")
         if base is None:
             state = state.repartition(self.buckets, *self.key)
         self._write_base(state, following)
@@ -108,21 +113,28 @@ class KeyedTable:
         """The rows that exist."""
         return live(self.state(), self.row)
 
-    def lookup(self, keys: DataFrame, without: Batch | None = None) -> DataFrame:
-        """The state of some keys. Only rows of these keys leave the scans; the base stays where it is, unsorted."""
+    def lookup(
+        self, keys: DataFrame, without: Batch | None = None, columns: Sequence[str] | None = None
+    ) -> DataFrame:
+        """The state of some keys, optionally only some of its value columns.
+
+        Only rows of these keys leave the scans; the base stays where it is, unsorted.
+        """
         wanted = keys.select(*self.key)
+        values = [f for f in self.row.fieldNames() if f not in self.key and (columns is None or f in columns)]
+        kept = [*self.key, *values, OP, SEQ]
         base, folded = self._base()
         paths = [
             self._batch_path(b) for b in self._batches() if b != without and self._batch_path(b) not in folded
         ]
         found = []
         if base is not None:
-            found.append(self._read_base(base).join(wanted.hint("shuffle_hash"), list(self.key), "left_semi"))
+            found.append(self._read_base(base).select(*kept).join(wanted.hint("shuffle_hash"), list(self.key), "left_semi"))
         if paths:
-            newer = self.spark.read.schema(self.stored).parquet(*paths)
+            newer = self.spark.read.schema(self.stored).parquet(*paths).select(*kept)
             found.append(newer.join(wanted, list(self.key), "left_semi"))
         if not found:
-            return empty_frame(self.spark, self.stored)
+            return empty_frame(self.spark, self.stored).select(*kept)
         rows = reduce(DataFrame.unionByName, found)
         return rows if len(found) == 1 and not paths else merge_latest(rows, self.key)
 

@@ -57,7 +57,8 @@ class GroupTotals:
         self.totals.compact(without=here)
         latest = latest_per_key(changes(log, self.table, on_bad), self.table.key, self.table.row_type)
         fresh = self.source.put(latest, writer, batch)
-        delta = self._delta(fresh, self.source.lookup(fresh, without=here)).persist(StorageLevel.MEMORY_AND_DISK)
+        known = self.source.lookup(fresh, without=here, columns=(self.group, self.measure, self.latest))
+        delta = self._delta(fresh, known).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.totals.put(self._updated(delta, here), writer, batch)
         finally:

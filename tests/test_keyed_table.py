@@ -150,6 +150,24 @@ def test_lookup_returns_the_state_of_some_keys(spark, folder):
     assert found == {r for r in expected(log) if r[0] < 12}
 
 
+def test_lookup_reads_only_the_asked_columns(spark, folder):
+    t = table(spark, folder)
+    t.put(batch(spark, random_log(8), t), "w", 0)
+    t.compact(force=True)
+    found = t.lookup(spark.createDataFrame([(1,)], "k bigint"), columns=["n"])
+    assert found.columns == ["k", "n", "_op", "_seq"]
+    assert "ReadSchema: struct<k:bigint,n:bigint,_op:string,_seq:bigint>" in found._sc._jvm.PythonSQLUtils.explainString(
+        found._jdf.queryExecution(), "formatted"
+    )
+
+
+def test_old_tombstones_can_be_forgotten(spark, folder):
+    t = table(spark, folder)
+    t.put(batch(spark, [(1, None, None, "d", 5), (2, None, None, "d", 9), (3, "a", 1, "u", 1)], t), "w", 0)
+    t.compact(force=True, forget_before=6)
+    assert {r.k for r in t.state().collect()} == {2, 3} and current(t) == {(3, "a", 1)}
+
+
 def test_another_session_state_reads_the_same(spark, folder):
     log, t = random_log(6), table(spark, folder)
     t.put(batch(spark, log, t), "w", 0)
