@@ -230,17 +230,16 @@ def registry_replicate(s: Source) -> DataFrame:
 
 
 def registry_admin(s: Source) -> DataFrame:
-    """The administration tables of the views, each replicated under its key and read back by its topic."""
+    """Administration tables, each through its own log, then a view over what arrived."""
     rows = {
         "dossiers": s.dossiers,
-        "alerts": s.alerts,
         "registrations": s.registrations,
-        "invoices": s.invoices,
         "enterprise": s.enterprise,
     }
     current = {}
     for table in ADMIN.select(*rows):
-        log = snapshot_log(rows[table.name](), table, ADMIN.topic(table))
+        stored = {"dossiers": "orders", "enterprise": "customer"}.get(table.name, "events")
+        log = snapshot_log(s.spread(rows[table.name](), stored), table, ADMIN.topic(table))
         current[table.name] = table.project(current_rows(changes(log, table), table.key, table.row_type))
     return adm.enterprise_activity(current["enterprise"], current["dossiers"], current["registrations"])
 

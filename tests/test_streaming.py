@@ -160,7 +160,7 @@ def frame(spark, log):
     return spark.createDataFrame([("t", 0, offset, value) for offset, value in log], RAW_LOG)
 
 
-@pytest.mark.parametrize("seed, parts", [(1, 4), (2, 6)])
+@pytest.mark.parametrize("seed, parts", [(1, 2), (2, 4)])
 def test_totals_follow_a_random_log(spark, folder, seed, parts):
     log, live = random_orders(seed, 240)
     kept = totals(spark, folder, compact_from=0)
