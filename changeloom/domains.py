@@ -61,7 +61,16 @@ class Domain:
         )
         kept = self._kept(spark, root, **options)
         if kept is not None:
-            queries.append(follow(source(self.summed), kept, f"{checkpoint}/totals", trigger=trigger, on_bad=on_bad))
+            queries.append(
+                follow(
+                    source(self.summed),
+                    kept,
+                    f"{checkpoint}/totals",
+                    trigger=trigger,
+                    on_bad=on_bad,
+                    dead_letters=dead_letters,
+                )
+            )
         return queries
 
     def tables(self, spark: SparkSession, root: str, **options) -> dict[str, DataFrame]:

@@ -26,7 +26,20 @@ def keyed_tables(spark: SparkSession, root: str, registry: Registry, **options)
 
 def writer_of(batch: DataFrame) -> str:
     """Name of the running query that survives restarts, as long as its checkpoint does."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not name:
+        raise RuntimeError("not called from a streaming query")
+    return name
+
+
+def check_bad(on_bad: str, dead_letters: str | None) -> None:
+    if (on_bad == "skip") != (dead_letters is not None):
+        raise ValueError("dead_letters is where on_bad='skip' keeps unreadable messages; give both or neither")
+
+
+def keep_bad(log: DataFrame, table: Table, dead_letters: str, writer: str, batch: int) -> None:
+    """Store the unreadable messages of a batch; running it again replaces them."""
+    bad_messages(log, table).write.mode("overwrite").parquet(f"{dead_letters}/{table.name}/{writer}/{batch}")
 
 
 def apply_batch(
@@ -61,8 +74,7 @@ def replicate(
     of a batch are written side by side, as one small table alone would leave most of a cluster idle.
     With ``on_bad="skip"`` unreadable messages are kept in ``dead_letters``.
     """
-    if (on_bad == "skip") != (dead_letters is not None):
-        raise ValueError("dead_letters is where on_bad='skip' keeps unreadable messages; give both or neither")
+    check_bad(on_bad, dead_letters)
 
     def write(batch: DataFrame, number: int) -> None:
         writer = writer_of(batch)
@@ -75,9 +87,7 @@ def replicate(
             own = batch.where(F.col("topic") == registry.topic(table))
             apply_batch(own, table, targets[table.name], writer, number, on_bad)
             if dead_letters is not None:
-                bad_messages(own, table).write.mode("overwrite").parquet(
-                    f"{dead_letters}/{table.name}/{writer}/{number}"
-                )
+                keep_bad(own, table, dead_letters, writer, number)
 
         try:
             with ThreadPoolExecutor(max_workers=len(registry)) as pool:

@@ -20,7 +20,7 @@ from changeloom.operators.changes import OP, SEQ, latest_per_key
 from changeloom.operators.keyed_table import Batch, KeyedTable
 from changeloom.registry import Table
 from changeloom.sources.changelog import changes
-from changeloom.streaming.replicate import EVERY_MINUTE, writer_of
+from changeloom.streaming.replicate import EVERY_MINUTE, check_bad, keep_bad, writer_of
 
 TOTAL, COUNT, LAST = "total_amount", "order_count", "last_order_at"
 
@@ -153,11 +153,16 @@ def follow(
     *,
     trigger: Mapping[str, object] = EVERY_MINUTE,
     on_bad: str = "raise",
+    dead_letters: str | None = None,
 ) -> StreamingQuery:
     """A streaming query that keeps source and totals up to date with the log of one table."""
+    check_bad(on_bad, dead_letters)
 
     def write(batch: DataFrame, number: int) -> None:
-        totals.apply(batch, writer_of(batch), number, on_bad)
+        writer = writer_of(batch)
+        totals.apply(batch, writer, number, on_bad)
+        if dead_letters is not None:
+            keep_bad(batch, totals.table, dead_letters, writer, number)
 
     return log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

@@ -205,6 +205,25 @@ def test_totals_from_a_stream(spark, folder):
     assert 15 not in got and got[1] == (9390001, "NORMAL")
 
 
+def test_totals_set_bad_messages_aside(spark, folder):
+    topic = CRM.topic("orders")
+    write_log(spark, folder, [(topic, 0, order("c", None, (1, 7, 10, 5))), (topic, 1, "garbage")], "log")
+    kept = totals(spark, folder + "/state")
+    follow(
+        file_log(spark, folder + "/log"),
+        kept,
+        folder + "/c",
+        trigger=NOW,
+        on_bad="skip",
+        dead_letters=folder + "/dead",
+    ).awaitTermination()
+    assert rows(kept.current()) == {(7, 10, 1, 5)}
+    dead = spark.read.option("recursiveFileLookup", True).parquet(folder + "/dead")
+    assert [r.value for r in dead.collect()] == ["garbage"]
+    with pytest.raises(ValueError):
+        follow(None, kept, folder, on_bad="skip")
+
+
 def test_merge_statement_is_valid_sql(spark):
     text = merge_statement("lake.orders", "batch", ["id"], ["id", "cus_id", "month"])
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
