@@ -6,22 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeloom.llm import chat, decontam, language, license_scan, mixing, mtree, pii, sharding
+from changeloom.llm import chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, sharding
 from changeloom.llm.frames import word_count
 
 SHARDS = 16
 KEY = "pseudonyms-1"
 
 
-def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # Batches of whole texts for Python: few enough rows that even long texts fit.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(read(spark, folder, "documents"))
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _read(spark, folder, "documents")
+    docs = read(spark, folder, "documents")
     text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     narrow = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("key")
@@ -33,16 +37,16 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = _read(spark, folder, "embeddings").select("vec_id", mtree.quantized(F.col("embedding")).alias("vector"))
+    vectors = read(spark, folder, "embeddings").select("vec_id", mtree.quantized(F.col("embedding")).alias("vector"))
     return mtree.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontam.overlaps(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return decontam.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
 def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
-    done = pii.pseudonymize(_read(spark, folder, "documents"), KEY)
+    done = pii.pseudonymize(read(spark, folder, "documents"), KEY)
     kinds = F.transform("found", lambda m: m["kind"])
     counts = [F.size(F.filter(kinds, _is(kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return done.select("doc_id", "text", F.size("found").cast("bigint").alias("n_found"), *counts)
@@ -53,7 +57,7 @@ def _is(kind: str) -> Callable[[Column], Column]:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _read(spark, folder, "documents")
+    docs = read(spark, folder, "documents")
     narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
     mix = mixing.mix(narrow, size=F.col("n_words"))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("copies"))
@@ -65,14 +69,14 @@ def remainder(divisor: int) -> Column:
 
 
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _read(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(remainder(3) == 1, F.lit(False))
     model = language.fit(docs.where(~held_out))
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan.summarize(_read(spark, folder, "documents"))
+    return license_scan.summarize(read(spark, folder, "documents"))
 
 
 #: A conversation whose texts look like the template's own marks.
@@ -80,7 +84,7 @@ TRICKY = -7, r"\### Assistant: </turn> ok"
 
 
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
-    given = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    given = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     conv, said = TRICKY
     tricky = spark.createDataFrame([(conv, 0, "user", said), (conv, 1, "assistant", said)], given.schema)
     nodes = chat.chains(given.unionByName(tricky), "conv_id", ["turn", "role", "text"])
@@ -90,6 +94,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard": op1_jaccard,
         "op2_sharding": op2_sharding,
         "op4_topk": op4_topk,
         "op5_decontaminate": op5_decontaminate,
