@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeloom.llm import chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, sharding
+from changeloom.llm import chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, pitman_yor, sharding
 from changeloom.llm.frames import word_count
 
 SHARDS = 16
@@ -36,6 +36,12 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    found = pitman_yor.score(read(spark, folder, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), *found.columns[1:])
+
+
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").select("vec_id", mtree.quantized(F.col("embedding")).alias("vector"))
     return mtree.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
@@ -96,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard": op1_jaccard,
         "op2_sharding": op2_sharding,
+        "op3_scores": op3_scores,
         "op4_topk": op4_topk,
         "op5_decontaminate": op5_decontaminate,
         "op6_pseudonyms": op6_pseudonyms,

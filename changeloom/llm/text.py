@@ -36,12 +36,12 @@ class Hasher:
         self.value = scrambled(lower + np.uint64(0x1234567))
         self.up, self.down = _powers(BASE, WINDOW), _powers(pow(BASE, -1, 2**64), WINDOW)
 
-    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words of all texts in order, and for each text where its words begin and end (n + 1 bounds)."""
+    def spans(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts, where each word begins and ends in them, and each text's first word (n + 1 bounds)."""
         offsets, data = _buffers(texts)
         n = len(texts)
         if not len(data):
-            return np.empty(0, np.uint64), np.zeros(n + 1, np.int64)
+            return data, np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(n + 1, np.int64)
         apart = np.zeros(len(data) + 1, bool)
         apart[offsets] = True
         breaks = self.is_break[data]
@@ -51,6 +51,14 @@ class Hasher:
         ends = word
         ends[:-1] &= breaks[1:] | apart[1:-1]
         starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+        return data, starts, ends, np.searchsorted(starts, offsets).astype(np.int64)
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of all texts in order, and each text's first word (n + 1 bounds)."""
+        data, starts, ends, bounds = self.spans(texts)
+        return self.hashed(data, starts, ends), bounds
+
+    def hashed(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         hashes = np.empty(len(starts), np.uint64)
         at = 0
         while at < len(starts):
@@ -63,7 +71,7 @@ class Hasher:
             a, b = starts[at:last] - low, ends[at:last] - low
             hashes[at:last] = (total[b] - total[a]) * self.down[a] + (b - a).astype(np.uint64)
             at = last
-        return scrambled(hashes), np.searchsorted(starts, offsets).astype(np.int64)
+        return scrambled(hashes)
 
 
 def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
