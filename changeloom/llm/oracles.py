@@ -2,6 +2,76 @@
 
 from __future__ import annotations
 
+_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_MIXING = r"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM docs GROUP BY source
+), filled AS (
+  SELECT *, 2 * source_size AS cap,
+         coalesce(sum(2 * source_size) OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+         sum(weight) OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+         sum(source_size) OVER () AS all_size
+  FROM sources
+), levels AS (
+  SELECT *, 3 * all_size - 2 * capped AS remaining, (3 * all_size - 2 * capped) * weight > 2 * cap * open_weight AS stops FROM filled
+), first_open AS (
+  SELECT remaining, open_weight FROM levels WHERE NOT stops ORDER BY cap / weight, source NULLS LAST LIMIT 1
+), targets AS (
+  SELECT l.source, l.source_size,
+         CASE WHEN l.stops THEN CAST(l.cap AS DOUBLE) ELSE CAST(f.remaining * l.weight AS DOUBLE) / CAST(f.open_weight * 2 AS DOUBLE) END AS target
+  FROM levels l CROSS JOIN first_open f
+), numbered AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0 END AS rate,
+         CAST(CAST('0x' || substr(md5('0:' || coalesce(d.source, '')), 1, 4) AS BIGINT) AS DOUBLE) / 65536.0 AS start,
+         row_number() OVER (
+           PARTITION BY d.source
+           ORDER BY length(bin(size)) * 64 + (size >> greatest(length(bin(size)) - 6, 0)), coalesce(doc_id % 16, 0), doc_id NULLS FIRST, size
+         ) - 1 AS n
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), taken AS (
+  SELECT *, CAST(least(floor(start + rate * (n + 1)) - floor(start + rate * n), ceil(rate)) AS INTEGER) AS copies FROM numbered
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken
+"""
+
+_CHAT = r"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### :') + length('/turn<>') + 3 + 2 * length(role) - length(regexp_replace(role, '[\\#<:]', '', 'g'))
+           + 2 * length(text) - length(regexp_replace(text, '[\\#<:]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_topk": _TOPK, "op7_mixing": _MIXING, "op10_chat": _CHAT}

@@ -66,7 +66,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
     mix = mixing.mix(narrow, size=F.col("n_words"))
-    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("copies"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), F.col("copies"))
 
 
 def remainder(divisor: int) -> Column:
@@ -94,8 +94,8 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     conv, said = TRICKY
     tricky = spark.createDataFrame([(conv, 0, "user", said), (conv, 1, "assistant", said)], given.schema)
     nodes = chat.chains(given.unionByName(tricky), "conv_id", ["turn", "role", "text"])
-    read = chat.digest(chat.format_trees(nodes))
-    return read.select(F.when(F.col("tree") != "null", F.col("tree")).cast("bigint").alias("conv_id"), *read.columns[1:])
+    found = chat.digest(chat.format_trees(nodes))
+    return found.select(F.when(F.col("tree") != "null", F.col("tree")).cast("bigint").alias("conv_id"), *found.columns[1:])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
