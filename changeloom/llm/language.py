@@ -16,79 +16,76 @@ LONGEST = 5
 SAMPLE_ROWS, VOCABULARY = 8_000, 60_000
 #: A text counts as at most so many words of evidence, so that the score of a long one in two languages stays below 1.
 EVIDENCE = 20.0
-MEMORY = 200_000  # unseen words that a worker remembers
 
 
 class Model:
-    """Log frequencies of words and of letter runs by language; a word's score is a vector over the languages."""
+    """Log frequencies of words and of letter runs by language: rows of one matrix, found by word or run."""
 
     def __init__(self, counts: list[tuple[str, str, int]]):
         self.languages = sorted({lang for lang, _, _ in counts})
         place = {lang: i for i, lang in enumerate(self.languages)}
-        words: dict[str, np.ndarray] = {}
-        grams: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+        self.words: dict[str, int] = {}
+        self.runs: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        known = np.zeros((len({word for _, word, _ in counts}), len(place)))
         for lang, word, count in counts:
-            words.setdefault(word, np.zeros(len(place)))[place[lang]] += count
-        for word, row in words.items():
-            for n in range(1, LONGEST + 1):
-                for gram in self._runs(word, n):
-                    if gram in grams[n]:
-                        grams[n][gram] += row
-                    else:
-                        grams[n][gram] = row.copy()
-        self.words = self._logs(words)
-        self.grams = [self._logs(table) for table in grams]
+            known[self.words.setdefault(word, len(self.words)), place[lang]] += count
+        blocks, size = [self._logs(known)], len(known)
+        for n in range(1, LONGEST + 1):
+            table, owners, places = self.runs[n], [], []
+            for word, row in self.words.items():
+                for run in runs(word, n):
+                    owners.append(row)
+                    places.append(table.setdefault(run, len(table)))
+            sums = np.zeros((len(table), len(place)))
+            np.add.at(sums, places, known[owners])
+            blocks.append(self._logs(sums))
+            self.runs[n] = {run: at + size for run, at in table.items()}
+            size += len(table)
+        self.rows = np.concatenate(blocks).astype(np.float32)
 
     @staticmethod
-    def _runs(word: str, n: int) -> list[str]:
-        padded = f" {word} " if n > 1 else word
-        return [padded[i : i + n] for i in range(len(padded) - n + 1)]
-
-    def _logs(self, table: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        if not table:
-            return {}
-        rows = np.array(list(table.values())) + 0.5
-        rows = np.log(rows / rows.sum(axis=0))
-        return dict(zip(table, (rows - rows.max(axis=1, keepdims=True)).astype(np.float32), strict=True))
-
-    def score(self, word: str) -> np.ndarray:
-        """Of a known word its own; else the mean of its longest runs of letters that are known; else nothing."""
+    def _logs(counts: np.ndarray) -> np.ndarray:
+        if not counts.size:
+            return counts
+        rows = np.log((counts + 0.5) / (counts + 0.5).sum(axis=0))
+        return rows - rows.max(axis=1, keepdims=True)
+
+    def places(self, word: str) -> list[int]:
+        """The rows whose mean scores a word: its own, or those of its longest runs of letters that are known, or none."""
         if word in self.words:
-            return self.words[word]
+            return [self.words[word]]
         for n in range(LONGEST, 0, -1):
-            known = [self.grams[n][gram] for gram in self._runs(word, n) if gram in self.grams[n]]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages), np.float32)
+            table = self.runs[n]
+            if found := [table[run] for run in runs(word, n) if run in table]:
+                return found
+        return []
 
-
-class Reader:
-    """Predicts for one text after another, remembering the scores of words."""
-
-    def __init__(self, model: Model):
-        self.model, self.seen, self.rows = model, {}, []
-
-    def _place(self, word: str) -> int:
-        place = self.seen[word] = len(self.rows)
-        self.rows.append(self.model.score(word))
-        return place
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.model.languages or not any(map(str.isalpha, text)):
+    def predict(self, text: str | None) -> tuple[str, float]:
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        if len(self.rows) > MEMORY:
-            self.seen, self.rows = {}, []
-        total = np.zeros(len(self.model.languages))
         counted = Counter(WORD.findall(text.lower()))
-        places = [self.seen[w] if w in self.seen else self._place(w) for w in counted]
-        for at in range(0, len(places), 4096):
-            some = np.array([self.rows[p] for p in places[at : at + 4096]], np.float64)
-            total += np.fromiter(counted.values(), np.float64, len(counted))[at : at + 4096] @ some
-        words = max(1, sum(counted.values()))
-        total = total * min(1.0, EVIDENCE / words)
+        at: list[int] = []
+        weights: list[float] = []
+        total = np.zeros(len(self.languages))
+        for word, count in counted.items():
+            found = self.places(word)
+            at += found
+            weights += [count / len(found)] * len(found) if found else []
+            if len(at) > 50_000:
+                total += np.array(weights) @ self.rows[at]
+                at, weights = [], []
+        if at:
+            total += np.array(weights) @ self.rows[at]
+        total = total * min(1.0, EVIDENCE / max(1, sum(counted.values())))
         share = np.exp(total - total.max())
         best = int(np.argmax(share))
-        return self.model.languages[best], float(share[best] / share.sum())
+        return self.languages[best], float(share[best] / share.sum())
+
+
+def runs(word: str, n: int) -> list[str]:
+    """The runs of n letters of a word, whose ends count as blanks for n > 1."""
+    padded = f" {word} " if n > 1 else word
+    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Model:
@@ -114,8 +111,7 @@ def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        read = Reader(model)
-        return pd.DataFrame([read(text) for text in texts], columns=["lang", "score"])
+        return pd.DataFrame([model.predict(text) for text in texts], columns=["lang", "score"])
 
     kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in (lang, score)]
     found = docs.select(*kept, predict("text").alias("__found"))
