@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeloom import files
 from changeloom.registry import ORDERS, Registry, Table
 from changeloom.sources.changelog import envelope, message
 
 # Value tiers that suit the amounts of the order table.
 VIP, HIGH, LOYAL = 3_500_000, 2_000_000, 1_000_000
-SPREAD_BELOW = 32 << 20  # bytes per core
 
 
 class Source:
@@ -27,15 +25,9 @@ class Source:
             self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
-    def spread(self, frame: DataFrame, *names: str) -> DataFrame:
-        """Rows about to be turned into messages, over all cores.
-
-        A small table is one file with one row group, which a single task would read and encode; larger ones have
-        enough splits of their own and stay where they are.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        size = sum(files.size(self.spark, f"{self.folder}/{name}.parquet") for name in names)
-        return frame.repartition(cores) if size < cores * SPREAD_BELOW else frame
+    def spread(self, frame: DataFrame) -> DataFrame:
+        """Rows about to be turned into messages, dealt evenly over all cores."""
+        return frame.repartition(self.spark.sparkContext.defaultParallelism)
 
     # Personnel
 
@@ -194,7 +186,7 @@ class Source:
             F.when(error, nothing).otherwise(after),
             millis("ts"),
         )
-        return self.spread(self.read("events"), "events").select(
+        return self.spread(self.read("events")).select(
             F.lit(USERS.topic(table)).alias("topic"),
             F.pmod("user_id", F.lit(8)).cast("int").alias("partition"),
             F.col("event_id").alias("offset"),
@@ -248,7 +240,7 @@ class Source:
             "o_orderstatus",
         )
         return (
-            self.spread(rows, "orders")
+            self.spread(rows)
             .select("id", F.explode(steps).alias("m"))
             .where(F.col("m").isNotNull())
             .select(

@@ -17,6 +17,7 @@ change cannot bring them back.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -38,7 +39,7 @@ class KeyedTable:
         key: Sequence[str],
         row: StructType,
         *,
-        buckets: int = 8,
+        buckets: int | None = None,
         compact_at: float = 0.25,
         compact_from: int = 64 << 20,
         keep_changes: int = 64,
@@ -85,13 +86,16 @@ class KeyedTable:
         due = pending >= max(self.compact_at * settled, self.compact_from) or len(batches) >= self.keep_changes
         if not (due or force):
             return False
+        buckets = self._layout(base)["buckets"] if base is not None else self.buckets
+        if not buckets:
+            raise ValueError(f"the first base of {self.path} needs a number of buckets")
         following = 0 if base is None else base + 1
         state = self._merge(base, batches)
         if forget_before is not None:
             state = state.where(f"{OP} <> 'd' OR {SEQ} >= {int(forget_before)}")
         if base is None:
-            state = state.repartition(self.buckets, *self.key)
-        self._write_base(state, following)
+            state = state.repartition(buckets, *self.key)
+        self._write_base(state, following, buckets)
         merged = "\n".join(self._batch_path(b) for b in batches)
         files.write_text(self.spark, f"{self._base_path(following)}/_folded", merged)
         for stale in folded:
@@ -200,25 +204,38 @@ class KeyedTable:
     def _table_name(self, number: int) -> str:
         return f"keyed_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_{number}"
 
-    def _write_base(self, state: DataFrame, number: int) -> None:
+    def _layout(self, number: int) -> dict:
+        """How a base was written. A table opened with another key, other columns or another number of buckets is refused."""
+        text = files.read_text(self.spark, f"{self._base_path(number)}/_layout")
+        if text is None:
+            raise ValueError(f"{self._base_path(number)} does not tell its layout; write the table anew")
+        layout = json.loads(text)
+        asked = {"buckets": self.buckets or layout["buckets"], "key": list(self.key), "schema": self.stored.simpleString()}
+        if wrong := [name for name, value in asked.items() if value != layout[name]]:
+            raise ValueError(f"{self.path} was written with {', '.join(f'{n} {layout[n]}, not {asked[n]}' for n in wrong)}")
+        return layout
+
+    def _write_base(self, state: DataFrame, number: int, buckets: int) -> None:
         name = self._table_name(number)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         (
             state.select(*self.stored.fieldNames())
             .write.mode("overwrite")
             .format("parquet")
-            .bucketBy(self.buckets, *self.key)
+            .bucketBy(buckets, *self.key)
             .option("path", self._base_path(number))
             .saveAsTable(name)
         )
+        layout = {"buckets": buckets, "key": list(self.key), "schema": self.stored.simpleString()}
+        files.write_text(self.spark, f"{self._base_path(number)}/_layout", json.dumps(layout))
 
     def _read_base(self, number: int) -> DataFrame:
-        name = self._table_name(number)
+        name, buckets = self._table_name(number), self._layout(number)["buckets"]
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored.fields)
             keys = ", ".join(f"`{k}`" for k in self.key)
             self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
+                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {buckets} BUCKETS "
                 f"LOCATION '{self._base_path(number)}'"
             )
         return self.spark.table(name)

@@ -97,7 +97,7 @@ def cdc_dead_letters(s: Source) -> DataFrame:
 def cdc_snapshot_then_changes(s: Source) -> DataFrame:
     """Orders as a snapshot, then their log: later changes win over the snapshot."""
     table = CRM["orders"]
-    snapshot = snapshot_log(s.spread(s.orders(), "orders").withColumn("amount", F.lit(0).cast("bigint")), table, CRM.topic(table))
+    snapshot = snapshot_log(s.spread(s.orders()).withColumn("amount", F.lit(0).cast("bigint")), table, CRM.topic(table))
     log = snapshot.unionByName(s.order_log(CRM))
     return current_rows(changes(log, table), table.key, table.row_type)
 
@@ -124,10 +124,10 @@ def stream_replicate(s: Source) -> DataFrame:
 
 def _hrm_log(s: Source, registry: Registry) -> DataFrame:
     rows = {
-        "employees": lambda: s.spread(s.employees(), "customer"),
-        "attendance": lambda: s.spread(s.attendance(), "events"),
-        "leave_requests": lambda: s.spread(s.leave_requests(), "orders"),
-        "payroll": lambda: s.spread(s.payroll(), "orders"),
+        "employees": lambda: s.spread(s.employees()),
+        "attendance": lambda: s.spread(s.attendance()),
+        "leave_requests": lambda: s.spread(s.leave_requests()),
+        "payroll": lambda: s.spread(s.payroll()),
     }
     logs = [snapshot_log(rows[t.name](), t, registry.topic(t), wrapped=t.name != "payroll") for t in registry]
     return reduce(DataFrame.unionByName, logs)
@@ -187,7 +187,7 @@ def domain_sales(s: Source) -> DataFrame:
     """The sales domain from its change logs to its published views."""
     domain = replace(domains.SALES, summary=partial(group_totals.order_summary, vip=VIP, high=HIGH))
     rows = {"customers": s.customers, "products": s.products, "order_items": s.order_items}
-    logs = [snapshot_log(s.spread(rows[t.name](), "lineitem"), t, CRM.topic(t)) for t in domain.copied]
+    logs = [snapshot_log(s.spread(rows[t.name]()), t, CRM.topic(t)) for t in domain.copied]
     log = _stream(s, reduce(DataFrame.unionByName, [*logs, s.order_log(CRM)]))
     root, buckets = work_path(s.spark, "domain"), s.spark.sparkContext.defaultParallelism
 
@@ -213,7 +213,7 @@ def registry_replicate(s: Source) -> DataFrame:
     registry = generic_registry(s)
     reports = []
     for table in registry:
-        log = snapshot_log(captured(s.spread(s.read(table.name), table.name)), table, registry.topic(table))
+        log = snapshot_log(captured(s.spread(s.read(table.name))), table, registry.topic(table))
         rows = table.project(current_rows(changes(log, table), table.key, table.row_type))
         key = F.concat_ws("/", *table.key)
         texts = [f.name for f in table.row_type.fields if f.dataType.simpleString() == "string" and f.name != "embedding"]
@@ -238,8 +238,7 @@ def registry_admin(s: Source) -> DataFrame:
     }
     current = {}
     for table in ADMIN.select(*rows):
-        stored = {"dossiers": "orders", "enterprise": "customer"}.get(table.name, "events")
-        log = snapshot_log(s.spread(rows[table.name](), stored), table, ADMIN.topic(table))
+        log = snapshot_log(s.spread(rows[table.name]()), table, ADMIN.topic(table))
         current[table.name] = table.project(current_rows(changes(log, table), table.key, table.row_type))
     return adm.enterprise_activity(current["enterprise"], current["dossiers"], current["registrations"])
 

@@ -180,3 +180,15 @@ def test_nothing_written_yet(spark, folder):
     t = table(spark, folder)
     assert current(t) == set() and not t.compact(force=True)
     assert t.lookup(spark.createDataFrame([(1,)], "k bigint")).count() == 0
+
+
+@pytest.mark.parametrize(("wrote", "asks"), [(8, 16), (16, 8)])
+def test_another_number_of_buckets_is_refused(spark, folder, wrote, asks):
+    t = KeyedTable(spark, folder, ["k"], ROW, buckets=wrote, compact_from=0)
+    t.put(spark.range(200).selectExpr("cast(id as int) as k", *[f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in ROW.fields[1:]], "'c' as _op", "id as _seq").selectExpr(*t.stored.fieldNames()), "w", 0)
+    assert t.compact(force=True)
+    for number in (0, 1):
+        spark.sql(f"DROP TABLE IF EXISTS {t._table_name(number)}")  # as a new session sees it
+    with pytest.raises(ValueError, match="buckets"):
+        KeyedTable(spark, folder, ["k"], ROW, buckets=asks).state().count()
+    assert KeyedTable(spark, folder, ["k"], ROW).state().count() == 200
