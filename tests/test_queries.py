@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from changeloom.oracles import oracle_sql
+from changeloom.queries import queries
 
 FOLDER = "/root/testdata/sf0.001"
 
