@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-PAGE, FANOUT = 64, 16
+PAGE, FANOUT = 256, 16
 #: Vectors per tree and queries per block: what one task holds.
 TREE_ROWS, BLOCK_ROWS = 4_096, 1_024
 #: Float distances are trusted up to this part of the largest one.
@@ -44,7 +44,7 @@ class MTree:
 
     def _page(self, rows: np.ndarray, center: np.ndarray, away: np.ndarray) -> dict:
         if len(rows) <= PAGE:
-            return {"rows": rows, "away": away}
+            return {"rows": rows, "away": away, "vectors": self.vectors[rows]}
         routers = rows[np.linspace(0, len(rows) - 1, FANOUT).astype(int)]
         apart = np.stack([np.linalg.norm(self.points[rows] - self.points[r], axis=1) for r in routers], axis=1)
         nearest = apart.argmin(axis=1)
@@ -71,10 +71,13 @@ class MTree:
         while pages and pages[0][0] <= reach:
             _, _, center, page = heapq.heappop(pages)
             if "rows" in page:
-                open_ = np.abs(center - page["away"]) <= reach + slack
-                rows = page["rows"][open_]
-                self.computed += len(rows)
-                for score, vec in zip((self.vectors[rows] @ query).tolist(), self.ids[rows].tolist(), strict=True):
+                open_ = np.flatnonzero(np.abs(center - page["away"]) <= reach + slack)
+                self.computed += len(open_)
+                scores = (page["vectors"] if len(open_) == len(page["rows"]) else page["vectors"][open_]) @ query
+                # Of a page's scores, only its k + 1 highest (one may be the query's own) and those tied with them can matter.
+                least = best[0][0] if len(best) == k else np.partition(scores, -k - 1)[-k - 1] if len(scores) > k else None
+                some = np.arange(len(scores)) if least is None else np.flatnonzero(scores >= least)
+                for score, vec in zip(scores[some].tolist(), self.ids[page["rows"][open_[some]]].tolist(), strict=True):
                     if vec == query_id:
                         continue
                     item = (int(score), -vec)
