@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-PAGE, FANOUT = 256, 16
+PAGE, FANOUT = 512, 16
 #: Vectors per tree and queries per block: what one task holds.
 TREE_ROWS, BLOCK_ROWS = 4_096, 1_024
 #: Float distances are trusted up to this part of the largest one.
@@ -45,11 +45,12 @@ class MTree:
     def _page(self, rows: np.ndarray, center: np.ndarray, away: np.ndarray) -> dict:
         if len(rows) <= PAGE:
             return {"rows": rows, "away": away, "vectors": self.vectors[rows]}
-        routers = rows[np.linspace(0, len(rows) - 1, FANOUT).astype(int)]
+        fanout = min(FANOUT, -(-2 * len(rows) // PAGE))
+        routers = rows[np.linspace(0, len(rows) - 1, fanout).astype(int)]
         apart = np.stack([np.linalg.norm(self.points[rows] - self.points[r], axis=1) for r in routers], axis=1)
         nearest = apart.argmin(axis=1)
-        if np.bincount(nearest, minlength=FANOUT).max() == len(rows):
-            nearest = np.arange(len(rows)) * FANOUT // len(rows)
+        if np.bincount(nearest, minlength=fanout).max() == len(rows):
+            nearest = np.arange(len(rows)) * fanout // len(rows)
         below, kept, radii = [], [], []
         for k in np.unique(nearest):
             mine = nearest == k
