@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, Table, column_type, hrm_reduced, with_times
 from changeloom.operators.changes import current_rows
@@ -99,15 +102,16 @@ def test_every_administration_table_replicates(spark):
     """Each table gets its key and some columns of every kind from a catalogue, and arrives complete."""
     extra = [("note", "text"), ("amount", "decimal(10,2)"), ("at", "datetime(6)"), ("flag", "tinyint(1)")]
     made = ADMIN.resolve(catalogue(**{t.name: [(t.key[0], "varchar(50)"), *extra] for t in ADMIN}))
-    log, expected = None, {}
     data = [("a", "n", 1.5, 1, 1), ("b", None, None, None, 0), (None, "no key", 0.0, 0, 0)]
-    for t in made.groups(5)[0]:
-        part = snapshot_log(spark.createDataFrame(data, t.row_type), t, made.topic(t))
-        log = part if log is None else log.unionByName(part)
-    for t in made.groups(5)[0]:
-        own = log.where(f"topic = '{made.topic(t)}'")
-        got = {tuple(r) for r in t.project(current_rows(changes(own, t), t.key, t.row_type)).collect()}
-        assert got == set(data[:2]), t.name
+    for group in made.groups(5):
+        log = reduce(DataFrame.unionByName, [snapshot_log(spark.createDataFrame(data, t.row_type), t, made.topic(t)) for t in group])
+        arrived = [
+            t.project(current_rows(changes(log.where(f"topic = '{made.topic(t)}'"), t), t.key, t.row_type))
+            .toDF("key", "note", "amount", "at", "flag").withColumn("tbl", F.lit(t.name))
+            for t in group
+        ]
+        got = {tuple(r) for r in reduce(DataFrame.unionByName, arrived).collect()}
+        assert got == {(*row, t.name) for t in group for row in data[:2]}
     assert all(t.row_type.fieldNames()[0] == t.key[0] for t in made)
 
 
