@@ -43,16 +43,17 @@ def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
     step = plain.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("bigint").alias("depth"), F.col("score").alias("total")
     ).checkpoint()
-    steps = [step]
     rounds = max(1, step.groupBy("tree").count().agg(F.max("count")).head()[0] or 1).bit_length()
-    while len(steps) <= rounds and not step.where("up is not null").isEmpty():
+    climbing = step.where("up is not null")
+    inner, steps = climbing.select("tree", F.col("up").alias("node")).distinct(), []
+    while len(steps) < rounds and not climbing.isEmpty():
+        steps.append(climbing)
         above = step.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("also"))
-        step = step.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("also", F.lit(0.0))).alias("total"),
+        moved = climbing.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("also")).alias("total")
         ).checkpoint()
-        steps.append(step)
-    inner = steps[0].where("up is not null").select("tree", F.col("up").alias("node")).distinct()
+        # Nodes that have reached their root are looked up by others and climb no further.
+        step, climbing = step.where("up is null").unionByName(moved), moved.where("up is not null")
     leaves = step.where("up is null").join(inner, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy((F.col("total") / F.col("depth")).desc(), "node")
     paths = (
@@ -60,7 +61,7 @@ def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
         .select("tree", F.col("node").alias("leaf"), "rank", "node", "depth").checkpoint()
     )
     for k in range(len(steps) - 1, -1, -1):
-        up = steps[k].where("up is not null").select("tree", "node", "up")
+        up = steps[k].select("tree", "node", "up")
         paths = paths.unionByName(
             paths.join(up, ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
         ).checkpoint()
