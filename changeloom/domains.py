@@ -69,6 +69,7 @@ class Domain:
                     trigger=trigger,
                     on_bad=on_bad,
                     dead_letters=dead_letters,
+                    topic=self.summed.topic(kept.table),
                 )
             )
         return queries

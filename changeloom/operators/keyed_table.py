@@ -75,7 +75,8 @@ class KeyedTable:
         Call it between batches of the only writer, with the batch about to run in ``without``: that one may still
         be overwritten, so it must not become part of the base. The previous base and the changes merged into it stay for readers that
         started on them, and go with the next compaction. ``forget_before`` drops tombstones with a lower ``_seq``,
-        once changes that old can no longer be replayed.
+        once changes that old can no longer be replayed. It is one limit for all keys: use it for topics of one partition only, as
+        offsets of different partitions have no common scale.
         """
         base, folded = self._base()
         batches = [b for b in self._batches() if b != without and self._batch_path(b) not in folded]

@@ -46,6 +46,44 @@ def upsert(
     return merged.select(*[value(c) for c in columns]).unionByName(unkeyed)
 
 
+def upsert_any(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[Sequence[str]], update: Sequence[str] | None = None
+) -> DataFrame:
+    """``target`` after inserting ``incoming``, where each of ``keys`` is unique; the first one is the primary key.
+
+    A row that meets a target row in any key changes that row's ``update`` columns (by default all that are in no key);
+    the others are inserted. A NULL in a key conflicts with nothing. It fails if two incoming rows share a key, if two of
+    them meet the same target row, or if one meets two different ones. Only keys of ``target`` are compared, by one
+    join with the incoming rows per key, which are small beside it and can be broadcast by their size.
+    """
+    ensure_checkpoint_dir(target.sparkSession)
+    primary, columns = list(keys[0]), target.columns
+    changing = [c for c in columns if all(c not in key for key in keys)] if update is None else list(update)
+    rows = incoming.select(*columns).withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+
+    def single(frame: DataFrame, by: Sequence[str], problem: str) -> None:
+        if not frame.groupBy(*by).count().where("count > 1").isEmpty():
+            raise ValueError(problem)
+
+    met = []
+    for key in keys:
+        taken = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]))
+        single(taken, key, f"incoming rows share the key {', '.join(key)}")
+        hit = F.struct(*[F.col(f"old.{p}").alias(p) for p in primary]).alias("_hit")
+        same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key]
+        met.append(target.alias("old").join(taken.alias("new"), same).select("new._row", hit))
+    hits = reduce(DataFrame.union, met).distinct().checkpoint()
+    single(hits, ["_row"], "an incoming row meets several rows of the table by different keys")
+    single(hits, ["_hit"], "several incoming rows meet the same row of the table")
+    found = rows.join(hits, "_row").select("_hit", F.struct(*changing).alias("_new"))
+    merged = target.join(found, [F.col(p) == F.col(f"_hit.{p}") for p in primary], "left")
+
+    def value(c: str) -> Column:
+        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in changing else F.col(c)
+
+    return merged.select(*[value(c) for c in columns]).unionByName(rows.join(hits, "_row", "left_anti").select(*columns))
+
+
 def reload(frame: DataFrame, path: str) -> None:
     """Replace the whole table at ``path``. Running it again gives the same table."""
     frame.write.mode("overwrite").parquet(path)

@@ -34,7 +34,7 @@ def order_summary_max(versions: DataFrame) -> DataFrame:
 
 
 def order_summary_latest(versions: DataFrame) -> DataFrame:
-    """The version with the largest total, its status taken along."""
+    """The largest total, count and time of all versions, with the status of the largest total: right while totals only grow."""
     known = versions.where(F.col("cus_id").isNotNull() & F.col("total_amount").isNotNull())
     return known.groupBy("cus_id").agg(
         F.max("total_amount").alias("total_amount"),
@@ -44,6 +44,14 @@ def order_summary_latest(versions: DataFrame) -> DataFrame:
     )
 
 
+def order_summary_newest(versions: DataFrame, version: str) -> DataFrame:
+    """The newest version of every summary row as a whole, whether its total has grown or fallen."""
+    known = versions.where(F.col("cus_id").isNotNull())
+    kept = ["total_amount", "order_count", "status", "last_order_at"]
+    newest = known.groupBy("cus_id").agg(F.max_by(F.struct(*kept), version).alias("newest"))
+    return newest.select("cus_id", *[F.col(f"newest.{c}") for c in kept])
+
+
 def regional_summary(customers: DataFrame, summary: DataFrame) -> DataFrame:
     """Customers, revenue and orders per region. Grouping by region and customer first turns the distinct count
     into a plain one and reuses the join's partitioning."""

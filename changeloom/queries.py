@@ -19,13 +19,14 @@ from changeloom.adapters import (
     captured,
     generic_registry,
     micros,
+    millis,
 )
 from changeloom.operators.changes import current_rows, weighted, weighted_count, weighted_sum
-from changeloom.operators.upsert import append, reload, upsert
+from changeloom.operators.upsert import append, reload, upsert, upsert_any
 from changeloom.plans import administration as adm, personnel, sales, transforms, views
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, hrm_reduced, with_times
 from changeloom.session import work_path
-from changeloom.sources.changelog import bad_messages, changes, file_log, snapshot_log
+from changeloom.sources.changelog import bad_messages, changes, file_log, in_generation, snapshot_log
 from changeloom.sources.tables import scan
 from changeloom.streaming import totals as group_totals
 from changeloom.streaming.replicate import keyed_tables, replicate, replicate_groups
@@ -48,14 +49,24 @@ def _summary(s: Source) -> DataFrame:
     return sales.order_summary(s.orders(), VIP, HIGH)
 
 
-def _summary_versions(s: Source) -> DataFrame:
-    """Two versions of every summary: before and after its open orders."""
+def _done_summary(s: Source) -> DataFrame:
     done = s.read("orders").where("o_orderstatus <> 'O'").select(
         F.col("o_custkey").alias("cus_id"),
         F.floor("o_totalprice").cast("bigint").alias("amount"),
         F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("order_at"),
     )
-    return sales.order_summary(done, VIP, HIGH).unionByName(_summary(s))
+    return sales.order_summary(done, VIP, HIGH)
+
+
+def _summary_versions(s: Source) -> DataFrame:
+    """Two versions of every summary: before and after its open orders."""
+    return _done_summary(s).unionByName(_summary(s))
+
+
+def order_summary_newest(s: Source) -> DataFrame:
+    """Summaries whose open orders are cancelled in the end, so that totals fall."""
+    first, second = (frame.withColumn("version", F.lit(n)) for n, frame in enumerate([_summary(s), _done_summary(s)]))
+    return sales.order_summary_newest(first.unionByName(second), "version")
 
 
 # Change logs
@@ -88,7 +99,7 @@ def cdc_unwrap(s: Source) -> DataFrame:
 
 
 def cdc_dead_letters(s: Source) -> DataFrame:
-    """The order log with the messages of low priority orders cut short: these are the ones set aside."""
+    """The order log with the messages that move urgent and high priority orders cut short: these are the ones set aside."""
     log = s.order_log(CRM)
     cut = F.when(F.col("offset") % 4 == 1, F.expr("left(value, length(value) - 2)")).otherwise(F.col("value"))
     return bad_messages(log.withColumn("value", cut), CRM["orders"]).select("partition", "offset")
@@ -134,13 +145,48 @@ def _hrm_log(s: Source, registry: Registry) -> DataFrame:
     return reduce(DataFrame.unionByName, logs)
 
 
-def stream_replicate_group(s: Source) -> DataFrame:
-    """All personnel tables through one query; the view reads what arrived."""
+def stream_recreated_topic(s: Source) -> DataFrame:
+    """Orders of a topic that is created again, with all but low priorities at one more: it starts at offset 0 and still wins."""
+    table, registry = CRM["orders"], CRM.select("orders")
+    targets = _targets(s, registry)
+    rows = s.read("orders").where("o_orderpriority NOT LIKE '5%'").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("cus_id"),
+        (F.floor("o_totalprice").cast("bigint") + 1).alias("amount"),
+        millis("o_orderdate").alias("order_at"),
+    )
+    again = snapshot_log(s.spread(rows), table, CRM.topic(table)).withColumn("offset", F.lit(0).cast("bigint"))
+    for generation, log in enumerate([s.order_log(CRM), again]):
+        stream = in_generation(_stream(s, log)(), generation)
+        replicate(stream, registry, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
+    return targets["orders"].current()
+
+
+def _group_tables(s: Source) -> dict[str, DataFrame]:
     log = _stream(s, _hrm_log(s, HRM))
     targets = _targets(s, HRM)
     replicate(log(), HRM, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    tables = {name: target.current() for name, target in targets.items()}
-    return views.build(personnel.VIEWS, tables)["overtime_report"]
+    return {name: target.current() for name, target in targets.items()}
+
+
+def stream_replicate_group(s: Source) -> DataFrame:
+    """All personnel tables through one query; the view reads what arrived."""
+    return views.build(personnel.VIEWS, _group_tables(s))["overtime_report"]
+
+
+def stream_group_rows(s: Source) -> DataFrame:
+    """The same, with rows, keys and employees counted in each of the targets."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.sum("emp_id" if name == "employees" else "id").alias("keys"),
+                F.countDistinct("emp_id").alias("people"),
+            ).select(F.lit(name).alias("tbl"), "rows", "keys", "people")
+            for name, rows in _group_tables(s).items()
+        ],
+    )
 
 
 def stream_replicate_each(s: Source) -> DataFrame:
@@ -287,19 +333,37 @@ def upsert_subset(s: Source) -> DataFrame:
 
 def upsert_unique_key(s: Source) -> DataFrame:
     """Limits per type and target: a conflict on that pair changes the value and leaves the primary key alone."""
-    limits = s.read("customer").groupBy(
+    return upsert(_limits(s), _entered_limits(s), ["limit_type", "target"], ["max_value"], "s_suppkey")
+
+
+def _limits(s: Source) -> DataFrame:
+    return s.read("customer").groupBy(
         F.col("c_mktsegment").alias("limit_type"), F.col("c_nationkey").cast("string").alias("target")
     ).agg(
         F.concat(F.lit("LIM-"), F.min("c_custkey")).alias("limit_id"), F.max("c_acctbal").alias("max_value")
     )
-    entered = s.read("supplier").select(
+
+
+def _entered_limits(s: Source) -> DataFrame:
+    return s.read("supplier").select(
         F.when(F.col("s_acctbal") > 5000, "BUILDING").otherwise("SUPPLY").alias("limit_type"),
         F.col("s_nationkey").cast("string").alias("target"),
         F.concat(F.lit("SUP-"), F.col("s_suppkey")).alias("limit_id"),
         F.col("s_acctbal").alias("max_value"),
         "s_suppkey",
     )
-    return upsert(limits, entered, ["limit_type", "target"], ["max_value"], "s_suppkey")
+
+
+def upsert_two_keys(s: Source) -> DataFrame:
+    """Limits with two unique keys: some rows meet one by its primary key, some by type and target, and some none."""
+    limits = _limits(s)
+    entered = _entered_limits(s).groupBy("limit_type", "target").agg(
+        F.min("limit_id").alias("limit_id"), F.max("max_value").alias("max_value")
+    )
+    moved = limits.where("limit_type = 'MACHINERY'").select(
+        F.lit("MOVED").alias("limit_type"), "target", "limit_id", (F.col("max_value") + 1).alias("max_value")
+    )
+    return upsert_any(limits, entered.unionByName(moved), [["limit_id"], ["limit_type", "target"]])
 
 
 def full_reload(s: Source) -> DataFrame:
@@ -388,6 +452,7 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "order_summary": _summary,
         "order_summary_dedup_max": lambda s: sales.order_summary_max(_summary_versions(s)),
         "order_summary_latest": lambda s: sales.order_summary_latest(_summary_versions(s)),
+        "order_summary_newest": order_summary_newest,
         "attendance_summary": lambda s: hrm.attendance_summary(_attendance(s), s.employees()),
         "department_stats": lambda s: hrm.department_stats(_attendance(s), s.employees()),
         "late_ranking": lambda s: hrm.late_ranking(_attendance(s), s.employees()),
@@ -429,7 +494,9 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "cdc_current_state": cdc_current_state,
         "cdc_weighted_totals": cdc_weighted_totals,
         "stream_replicate": stream_replicate,
+        "stream_recreated_topic": stream_recreated_topic,
         "stream_replicate_group": stream_replicate_group,
+        "stream_group_rows": stream_group_rows,
         "stream_replicate_each": stream_replicate_each,
         "stream_attendance": stream_attendance,
         "stream_order_summary": stream_order_summary,
@@ -447,6 +514,7 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "copy_order_items": copy(CRM, "order_items", "order_items"),
         "upsert_subset": upsert_subset,
         "upsert_unique_key": upsert_unique_key,
+        "upsert_two_keys": upsert_two_keys,
         "full_reload": full_reload,
         "append_with_defaults": append_with_defaults,
         "empty_bootstrap": empty_bootstrap,

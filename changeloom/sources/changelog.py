@@ -14,6 +14,8 @@ from changeloom.registry import Registry, Table
 
 RAW_LOG = "topic string, partition int, offset bigint, value string"
 OPS = ("r", "c", "u", "d")
+#: Offsets of one life of a topic stay below this; those of its next life go on from here.
+LIFE = 1 << 48
 
 
 def kafka_log(
@@ -25,8 +27,9 @@ def kafka_log(
     max_offsets: int | None = None,
     starting: str = "earliest",
     options: dict[str, str] | None = None,
+    generation: int = 0,
 ) -> DataFrame:
-    """The topics of ``registry``. Needs Spark's Kafka connector on the classpath."""
+    """The topics of ``registry``. Needs Spark's Kafka connector on the classpath. ``generation``: see ``in_generation``."""
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     reader = (
         reader.option("kafka.bootstrap.servers", servers)
@@ -37,7 +40,24 @@ def kafka_log(
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
-    return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    log = reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    return in_generation(log, generation)
+
+
+def in_generation(log: DataFrame, generation: int) -> DataFrame:
+    """The log of topics that were created anew ``generation`` times, its changes ordered after those of earlier lives.
+
+    A new topic starts at offset 0, so by its bare offsets it would lose against rows stored from the old one. Raise the
+    number by one, with a new checkpoint, whenever topics are created anew. A snapshot keeps its place before the changes
+    of its own generation. An offset that does not fit into a generation fails the job.
+    """
+    if not 0 <= generation < 1 << 15:
+        raise ValueError(f"generation is from 0 to {(1 << 15) - 1}, not {generation}")
+    if not generation:
+        return log
+    fits = F.col("offset") < LIFE - 1
+    later = F.col("offset") + F.lit(generation * LIFE)
+    return log.withColumn("offset", F.when(fits, later).otherwise(F.raise_error(F.lit("offset beyond its generation")).cast("bigint")))
 
 
 def file_log(

@@ -1,7 +1,8 @@
 """Upserts by ``MERGE INTO``, for a catalogue with a lake format that supports it.
 
 Not exercised by the tests: no such format is on the classpath here. ``MergeTable`` can stand in for ``KeyedTable`` in
-``replicate``; the table needs the target columns and ``_seq bigint``.
+``replicate``; the table needs the target columns, ``_op string`` and ``_seq bigint``. Deleted keys stay as tombstones, so that a
+replayed older change cannot bring them back.
 """
 
 from __future__ import annotations
@@ -14,16 +15,15 @@ from changeloom.operators.changes import OP, SEQ
 
 
 def merge_statement(table: str, source: str, key: Sequence[str], columns: Sequence[str]) -> str:
-    stored = [*columns, SEQ]
+    stored = [*columns, OP, SEQ]
     same = " AND ".join(f"t.`{k}` = s.`{k}`" for k in key)
     assign = ", ".join(f"t.`{c}` = s.`{c}`" for c in stored if c not in key)
     names = ", ".join(f"`{c}`" for c in stored)
     values = ", ".join(f"s.`{c}`" for c in stored)
     return (
         f"MERGE INTO {table} t USING {source} s ON {same} "
-        f"WHEN MATCHED AND s.`{OP}` = 'd' AND s.`{SEQ}` > t.`{SEQ}` THEN DELETE "
         f"WHEN MATCHED AND s.`{SEQ}` > t.`{SEQ}` THEN UPDATE SET {assign} "
-        f"WHEN NOT MATCHED AND s.`{OP}` <> 'd' THEN INSERT ({names}) VALUES ({values})"
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
 
 
@@ -41,4 +41,4 @@ class MergeTable:
         """Left to the table format's own maintenance."""
 
     def current(self) -> DataFrame:
-        return self.spark.table(self.table).select(*self.columns)
+        return self.spark.table(self.table).where(f"{OP} <> 'd'").select(*self.columns)

@@ -154,9 +154,12 @@ def follow(
     trigger: Mapping[str, object] = EVERY_MINUTE,
     on_bad: str = "raise",
     dead_letters: str | None = None,
+    topic: str | None = None,
 ) -> StreamingQuery:
-    """A streaming query that keeps source and totals up to date with the log of one table."""
+    """A streaming query that keeps source and totals up to date with the log of one table; ``topic`` picks it out of a shared log."""
     check_bad(on_bad, dead_letters)
+    if topic is not None:
+        log = log.where(F.col("topic") == topic)
 
     def write(batch: DataFrame, number: int) -> None:
         writer = writer_of(batch)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.operators.upsert import append, reload, upsert
+from changeloom.operators.upsert import append, reload, upsert, upsert_any
 from changeloom.sources.tables import scan
 
 LIMITS = "id string, kind string, target string, value bigint, note string"
@@ -63,6 +63,33 @@ def test_upsert_again_changes_nothing(spark, limits):
     assert rows(upsert(once, new, ["id"], ["value"])) == rows(once)
 
 
+def test_upsert_on_several_keys(spark, limits):
+    keys = [["id"], ["kind", "target"]]
+    new = spark.createDataFrame(
+        [("N1", "rate", "portal", 9, "new"), ("L2", "moved", "upload", 3, None), ("N3", "size", None, 4, "new")], LIMITS
+    )
+    assert rows(upsert_any(limits, new, keys)) == {
+        ("L1", "rate", "portal", 9, "new"),
+        ("L2", "size", None, 3, None),
+        ("N3", "size", None, 4, "new"),
+    }
+    assert rows(upsert_any(limits, new.limit(0), keys)) == rows(limits)
+    assert rows(upsert_any(limits.limit(0), new, keys)) == rows(new)
+
+
+@pytest.mark.parametrize(
+    "new, problem",
+    [
+        ([("L2", "rate", "portal", 1, "x")], "meets several rows"),
+        ([("L1", "a", "b", 1, "x"), ("N1", "rate", "portal", 1, "x")], "meet the same row"),
+        ([("N1", "a", "b", 1, "x"), ("N2", "a", "b", 1, "x")], "share the key"),
+    ],
+)
+def test_upsert_on_several_keys_refuses_what_is_not_clear(spark, limits, new, problem):
+    with pytest.raises(ValueError, match=problem):
+        upsert_any(limits, spark.createDataFrame(new, LIMITS), [["id"], ["kind", "target"]])
+
+
 def test_reload_is_repeatable(spark, folder):
     frame = spark.range(5).select("id")
     reload(spark.range(99).select("id"), folder + "/t")
