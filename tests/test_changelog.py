@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators.changes import current_rows, latest_per_key, weighted, weighted_count, weighted_sum
 from changeloom.registry import Table
-from changeloom.sources.changelog import RAW_LOG, bad_messages, changes, file_log, message, envelope, snapshot_log
+from changeloom.sources.changelog import LIFE, RAW_LOG, bad_messages, changes, envelope, file_log, in_generation, message, snapshot_log
 
 T = Table("t", ("id",), "id bigint, v bigint")
 WRAPPED = [
@@ -129,3 +129,15 @@ def test_envelope_shape(spark):
     body = envelope(F.lit("c"), F.lit(None).cast("struct<id:bigint>"), F.struct(F.lit(1).alias("id")))
     text = spark.range(1).select(message(body)).first()[0]
     assert json.loads(text) == {"payload": {"op": "c", "ts_ms": 0, "before": None, "after": {"id": 1}}}
+
+
+def test_generations_come_one_after_another(spark):
+    log = spark.createDataFrame([("t", 0, -1, "s"), ("t", 0, 0, "a"), ("t", 0, 900, "b")], RAW_LOG)
+    again = in_generation(log, 1)
+    lowest, highest = again.agg({"offset": "min"}).first()[0], in_generation(log, 0).agg({"offset": "max"}).first()[0]
+    assert lowest > highest and [r.value for r in again.orderBy("offset").collect()] == ["s", "a", "b"]
+    assert again.schema["offset"].dataType == log.schema["offset"].dataType
+    with pytest.raises(Exception, match="beyond its generation"):
+        in_generation(spark.createDataFrame([("t", 0, LIFE, "x")], RAW_LOG), 1).collect()
+    with pytest.raises(ValueError):
+        in_generation(log, -1)
