@@ -140,11 +140,11 @@ def column_type(source_type: str, exact: bool = False) -> tuple[str, str | None]
     args = rest.partition(")")[0].replace(" ", "")
     if base in ("bigint", "bigserial", "int8"):
         return "bigint", None
-    if base in ("tinyint", "smallint", "mediumint", "int", "integer", "serial", "int4"):
+    if base in ("tinyint", "smallint", "mediumint", "int", "integer", "serial", "int2", "int4"):
         return "int", None
     if base in ("decimal", "numeric"):
         return (f"decimal({args or '10,0'})", None) if exact else ("double", None)
-    if base in ("double", "float", "real"):
+    if base in ("double", "float", "real", "float4", "float8"):
         return "double", None
     if base in ("bool", "boolean"):
         return "boolean", None

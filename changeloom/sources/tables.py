@@ -28,31 +28,39 @@ def database_table(
     url: str,
     table: Table,
     schema: str,
-    bounds: tuple[str, int, int, int] | None = None,
+    bounds: tuple[str, int, int, int],
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A source table over JDBC, e.g. for its initial snapshot. Needs the driver on the classpath.
 
-    ``bounds`` (column, low, high, partitions) reads it in parallel; without, one task reads it all.
+    ``bounds`` (column, low, high, partitions) says how it is read in parallel.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"{schema}.{table.name}")
-    if bounds:
-        column, low, high, parts = bounds
-        reader = (
-            reader.option("partitionColumn", column)
-            .option("lowerBound", low)
-            .option("upperBound", high)
-            .option("numPartitions", parts)
-        )
+    column, low, high, parts = bounds
+    reader = (
+        reader.option("partitionColumn", column)
+        .option("lowerBound", low)
+        .option("upperBound", high)
+        .option("numPartitions", parts)
+    )
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
     return reader.load()
 
 
-def column_catalogue(spark: SparkSession, url: str, registry: Registry, options: Mapping[str, str] | None = None):
-    """Rows of the source's ``information_schema.columns`` for ``Registry.resolve``; metadata only."""
+def column_catalogue(
+    spark: SparkSession,
+    url: str,
+    registry: Registry,
+    options: Mapping[str, str] | None = None,
+    type_column: str = "column_type",
+):
+    """Rows of the source's ``information_schema.columns`` for ``Registry.resolve``; metadata only.
+
+    ``type_column`` is ``column_type`` for MySQL and ``udt_name`` for Postgres, which has no ``column_type``.
+    """
     query = (
-        "SELECT table_name, column_name, ordinal_position, column_type "
+        f"SELECT table_name, column_name, ordinal_position, {type_column} AS column_type "
         f"FROM information_schema.columns WHERE table_schema = '{registry.schema}'"
     )
     reader = spark.read.format("jdbc").option("url", url).option("query", query)

@@ -30,6 +30,9 @@ COLUMN_TYPES = {
     "datetime(6)": ("bigint", "us"),
     "timestamp": ("bigint", "us"),
     "timestamp(3)": ("bigint", "ms"),
+    "int2": ("int", None),
+    "int8": ("bigint", None),
+    "float8": ("double", None),
 }
 
 
