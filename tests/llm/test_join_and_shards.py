@@ -63,6 +63,15 @@ def test_join_equals_brute_force(spark, docs, small, monkeypatch):
     assert found == expected
 
 
+def test_pivots_of_a_large_region_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "REGION_SHINGLES", 1)
+    # Of each pair, the pivot is the smaller or the larger document.
+    texts = [[f"p{i}w{k}" for k in range(40)] for i in range(12)]
+    rows = [(10 * i + k, " ".join([*t, "x"][: 40 + k])) for i, t in enumerate(texts) for k in (0, 1)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == classes(rows)
+
+
 def test_join_of_odd_rows(spark, docs):
     rows = jaccard_join.join(docs).collect()
     assert len(rows) == docs.count()
