@@ -11,19 +11,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from changeloom.llm.text import BASE, Hasher, parts, scrambled
 
-#: Fixed masks: which of eleven neighbouring words are hashed.
-MASKS = ("11101100111", "11011010111", "11110001111")
+#: Fixed masks: which of some neighbouring words are hashed. Wherever two of LEAST words are substituted, one mask fits beside them.
+MASKS = ("11111011", "110101111", "111011101", "1101101011", "11110000111", "1111111", "1100110111")
 SPAN, ALIKE = 13, 0.8
+#: Items of fewer words are found whole, with all words equal.
+LEAST = 11
 #: Words are told apart by letters and digits alone, so that quotes, case and punctuation do not hide a passage.
 BREAKS = bytes(b for b in range(128) if not chr(b).isalnum())
 #: Bytes of benchmark texts that are sent to the executors at a time.
 BLOCK = 2 << 20
 
 
-def seeds(words: np.ndarray) -> list[np.ndarray]:
+def seeds(words: np.ndarray, masks: tuple[str, ...] = MASKS) -> list[np.ndarray]:
     """For each mask, the hash of the words it keeps, at every position where it fits."""
     out = []
-    for m, mask in enumerate(MASKS):
+    for m, mask in enumerate(masks):
         n = max(0, len(words) - len(mask) + 1)
         total = np.full(n, m + 1, np.uint64)
         for k, keep in enumerate(mask):
@@ -41,6 +43,8 @@ class Index:
         self.words, self.bounds = Hasher(BREAKS).words(pa.array(texts, pa.string()))
         hashes, items, places = [], [], []
         for i, (a, b) in enumerate(pairwise(self.bounds)):
+            if b - a < LEAST:
+                continue
             for hashed in seeds(self.words[a:b]):
                 hashes.append(hashed)
                 items.append(np.full(len(hashed), i))
@@ -52,7 +56,10 @@ class Index:
         self.places = np.concatenate(places)[order] if hashes else np.empty(0, np.int64)
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.hashes >> np.uint64(44)] = True
-        self.short = [i for i, (a, b) in enumerate(pairwise(self.bounds)) if 0 < b - a < len(MASKS[0])]
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, (a, b) in enumerate(pairwise(self.bounds)):
+            if 0 < b - a < LEAST:
+                self.short.setdefault(int(b - a), {}).setdefault(int(seeds(self.words[a:b], ("1" * (b - a),))[0][0]), []).append(i)
 
     def overlaps(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """Each text and item that share a passage: text, item, first word in the text, first word in the item, length, equal words.
@@ -72,8 +79,24 @@ class Index:
             span = self._verified(words[bounds[doc] : bounds[doc + 1]], item, shift)
             if span and span[::-1] > best.get((doc, item), ())[::-1]:
                 best[doc, item] = span
+        best |= self._whole(words, bounds)
         return [(*pair, *span) for pair, span in sorted(best.items())]
 
+    def _whole(self, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+        """The first place of each short item in each text."""
+        best = {}
+        for n, known in self.short.items():
+            hashed = seeds(words, ("1" * n,))[0]
+            at = np.flatnonzero(np.isin(hashed, np.fromiter(known, np.uint64, len(known))))
+            docs = np.searchsorted(bounds, at, "right") - 1
+            inside = at + n <= bounds[docs + 1]
+            at, docs = at[inside], docs[inside]
+            _, first = np.unique(np.stack([docs.astype(np.uint64), hashed[at]]), axis=1, return_index=True)
+            for p, doc in zip(at[first].tolist(), docs[first].tolist(), strict=True):
+                for item in known[int(hashed[p])]:
+                    best[doc, item] = p - int(bounds[doc]), 0, n, n
+        return best
+
     def _verified(self, words: np.ndarray, item: int, shift: int) -> tuple[int, int, int, int] | None:
         """The span on a diagonal that is covered by windows of SPAN words of which ALIKE are equal."""
         test = self.words[self.bounds[item] : self.bounds[item + 1]]
@@ -107,12 +130,12 @@ FOUND = "doc_id bigint, item_id bigint, doc_word bigint, item_word bigint, lengt
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Passages of benchmark items in documents: the longest for each pair of ``doc_id`` and ``item_id``.
 
-    Fixed masks ignore some of eleven neighbouring words, so a hash of the rest also matches where those were substituted. All
-    positions of all whole texts are looked up; around a hit, the two texts are compared word by word along its diagonal. A pair counts if
+    Fixed masks ignore some of the neighbouring words, so a hash of the rest also matches where those were substituted; any two
+    substitutions in eleven words leave a mask that matches. All positions of all whole texts are looked up; around a hit, the two texts are compared word by word along its diagonal. A pair counts if
     13 words in a row (or an item of 11 or 12 words whole) have 80 % equal. ``doc_word``, ``item_word``: where the span starts;
     ``length``: its words; ``equal``: those alike. A benchmark of any size is looked up in blocks.
 
-    Null or short texts and items of fewer than eleven words have no overlaps. Repeated documents repeat their rows, repeated items count once.
+    An item of fewer than eleven words is found where all of it stands. Null texts, and items without an id, have no overlaps. Repeated documents repeat their rows, repeated items count once.
     """
     found = None
     for index in _blocks(benchmark):
@@ -132,7 +155,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any overlap, all their columns; nothing is shuffled."""
+    """The documents without any overlap, all their columns; nothing is shuffled. Items without an id are left out."""
     for index in _blocks(benchmark):
         at = docs.columns.index("text")
 

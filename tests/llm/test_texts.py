@@ -3,11 +3,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from changeloom.llm import chat, decontam, language, license_scan, mtree, pii, pitman_yor
 
 from .conftest import words
@@ -130,6 +133,20 @@ def test_decontamination(spark):
     assert decontam.overlaps(docs, bench.limit(0)).count() == 0 and decontam.clean(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_covers_substitutions_and_short_items(spark):
+    for n in (11, 12, 13):
+        index = decontam.Index([7], [" ".join(f"q{i}" for i in range(n))])
+        texts = [" ".join("z" if i in pair else f"q{i}" for i in range(n)) for pair in combinations_with_replacement(range(n), 2)]
+        words_, bounds = decontam.Hasher(decontam.BREAKS).words(pa.array(texts))
+        assert {doc for doc, *_ in index.overlaps(words_, bounds)} == set(range(len(texts)))
+    texts = ["so a short item it is", "so a short", "item it is", "a Short, item", "a short thing item", "yes", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "a short item"), (2, "A short item!"), (None, "yes"), (3, ""), (4, "is it so")], "item_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["doc_word"], r["item_word"], r["length"], r["equal"]) for r in decontam.overlaps(docs, bench).collect())
+    assert found == [(0, 1, 1, 0, 3, 3), (0, 2, 1, 0, 3, 3), (3, 1, 0, 0, 3, 3), (3, 2, 0, 0, 3, 3)]
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, corpus_pipeline.numbered(bench)).collect()) == [1, 2, 4, 6]
+
+
 def test_scores(spark, docs):
     learn = F.col("doc_id") % 4 != 3
     rows = pitman_yor.score(docs, learn).collect()
