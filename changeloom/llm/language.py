@@ -7,12 +7,17 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
+
+from changeloom.session import work_path
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 LONGEST = 5
-#: Bounds of what is learned from: labelled rows, and words kept of them, the most frequent ones over all languages.
+#: Bounds of what is learned from: labelled rows, dealt out to the languages, and words kept of each language, the most frequent ones and ties.
 SAMPLE_ROWS, VOCABULARY = 8_000, 60_000
 #: A text counts as at most so many words of evidence, so that the score of a long one in two languages stays below 1.
 EVIDENCE = 20.0
@@ -21,28 +26,29 @@ EVIDENCE = 20.0
 class Model:
     """Log frequencies of words and of letter runs by language: rows of one matrix, found by word or run."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
-        self.languages = sorted({lang for lang, _, _ in counts})
-        place = {lang: i for i, lang in enumerate(self.languages)}
-        self.words: dict[str, int] = {}
-        self.runs: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        known = np.zeros((len({word for _, word, _ in counts}), len(place)))
-        for lang, word, count in counts:
-            known[self.words.setdefault(word, len(self.words)), place[lang]] += count
+    def __init__(self, counts: pa.Table, letters: list[pa.Table]):
+        """``counts`` of language and word; ``letters``: of language and run of letters, a table for each length, over all words."""
+        self.languages = sorted({lang for table in letters for lang in table.column("lang").unique().to_pylist()})
+        self.words, known = self._counted(counts, "word")
+        self.runs: list[dict[str, int]] = [{}]
         blocks, size = [self._logs(known)], len(known)
-        for n in range(1, LONGEST + 1):
-            table, owners, places = self.runs[n], [], []
-            for word, row in self.words.items():
-                for run in runs(word, n):
-                    owners.append(row)
-                    places.append(table.setdefault(run, len(table)))
-            sums = np.zeros((len(table), len(place)))
-            np.add.at(sums, places, known[owners])
+        for table in letters:
+            places, sums = self._counted(table, "run")
             blocks.append(self._logs(sums))
-            self.runs[n] = {run: at + size for run, at in table.items()}
-            size += len(table)
+            self.runs.append({run: at + size for run, at in places.items()})
+            size += len(places)
         self.rows = np.concatenate(blocks).astype(np.float32)
 
+    def _counted(self, rows: pa.Table, name: str) -> tuple[dict[str, int], np.ndarray]:
+        """The row of each word or run, and its counts by language."""
+        values = rows.column(name).unique()
+        sums = np.zeros((len(values), len(self.languages)))
+        if len(values):
+            at = pc.index_in(rows.column(name), value_set=values).to_numpy()
+            langs = pc.index_in(rows.column("lang"), value_set=pa.array(self.languages)).to_numpy()
+            np.add.at(sums, (at, langs), rows.column("count").to_numpy())
+        return {value: i for i, value in enumerate(values.to_pylist())}, sums
+
     @staticmethod
     def _logs(counts: np.ndarray) -> np.ndarray:
         if not counts.size:
@@ -89,17 +95,44 @@ def runs(word: str, n: int) -> list[str]:
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Model:
-    """A model of about ``rows`` of the rows with ``text`` and ``lang`` (chosen by a hash of ``doc_id``) and their ``vocabulary`` most frequent words.
+    """A model of about ``rows`` of the rows with ``text`` and ``lang`` (chosen by a hash of ``doc_id``) and the ``vocabulary`` most frequent words of each language.
 
-    Null texts and languages teach nothing. Without labelled rows every prediction is ``und``.
+    Languages have equal shares of the rows; what a small one leaves over goes to the others. Words that are as frequent as the last one
+    stay too, and runs of letters are counted over all words. Null texts and languages teach nothing. Without labelled rows every prediction is ``und``.
     """
     known = labelled.where("text is not null and lang is not null")
-    n = known.count()
-    share = int(2**30 * min(1.0, rows / max(1, n)))
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share)
+    shares = _shares([tuple(row) for row in known.groupBy("lang").count().collect()], rows)
+    share = F.col("share")
+    dealt = F.broadcast(known.sparkSession.createDataFrame(shares, "lang string, share bigint"))
+    sample = known.join(dealt, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share)
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counted = words.groupBy("lang", "word").count().orderBy(F.desc("count"), "word", "lang").limit(vocabulary)
-    return Model([tuple(row) for row in counted.collect()])
+    path = work_path(known.sparkSession, "words")
+    words.groupBy("lang", "word").count().write.parquet(path)
+    counted = known.sparkSession.read.parquet(path)
+    place = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("count")))
+    frequent = counted.withColumn("place", place).where(F.col("place") <= vocabulary).select("word").distinct()
+    kept = counted.join(frequent, "word", "left_semi").select("lang", "word", "count")
+    letters = None
+    for n in range(1, LONGEST + 1):
+        padded = F.concat(F.lit(" "), "word", F.lit(" ")) if n > 1 else F.col("word")
+        long_enough = counted.select("lang", "count", padded.alias("padded")).where(F.length("padded") >= n)
+        some = long_enough.select("lang", F.lit(n).alias("n"), F.explode(F.expr(f"transform(sequence(1, length(padded) - {n - 1}), i -> substring(padded, i, {n}))")).alias("run"), "count")
+        letters = some if letters is None else letters.unionByName(some)
+    path = work_path(known.sparkSession, "runs")
+    letters.groupBy("lang", "n", "run").agg(F.sum("count").alias("count")).write.parquet(path)
+    summed = known.sparkSession.read.parquet(path)
+    # As Arrow tables, a length at a time: rows as Python objects would take several times the memory.
+    return Model(kept.toArrow(), [summed.where(F.col("n") == n).select("lang", "run", "count").toArrow() for n in range(1, LONGEST + 1)])
+
+
+def _shares(sizes: list[tuple[str, int]], rows: int) -> list[tuple[str, int]]:
+    """The part of each language's rows to learn from, in 2^30ths."""
+    shares = []
+    for i, (lang, n) in enumerate(sorted(sizes, key=lambda x: (x[1], x[0]))):
+        quota = min(n, rows / (len(sizes) - i))
+        rows -= quota
+        shares.append((lang, int(2**30 * quota / n)))
+    return shares
 
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:

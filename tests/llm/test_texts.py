@@ -98,6 +98,16 @@ def test_language(spark, docs):
     assert {r["lang_pred"] for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_small_languages_are_learned(spark):
+    big = [(i, " ".join(f"{a}{b}o" for a in "bcdfg" for b in "aeiu"), "aa") for i in range(400)]
+    late = [(1000 + i, f"\u0436\u0434{chr(0x430 + i)}\u0449 \u0448{chr(0x430 + i)}\u044e", "zz") for i in range(5)]
+    model = language.fit(spark.createDataFrame([*big, *late], "doc_id bigint, text string, lang string"), 50, 20)
+    assert model.languages == ["aa", "zz"] and len([w for w in model.words if "\u0436" in w]) == 5
+    assert model.predict("\u0436\u0434\u044e\u0449 \u0448\u0449\u044e")[0] == "zz" and model.predict("\u0448\u0430\u044e")[1] > 0.9
+    one_word = language.fit(spark.createDataFrame([(1, "ab ab cd", "aa"), (2, "xy", "zz")], "doc_id bigint, text string, lang string"), 50, 1)
+    assert set(one_word.words) == {"ab", "xy"} and {"c", "d"} <= set(one_word.runs[1])
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(mtree, "TREE_ROWS", 700)
     rng = np.random.default_rng(3)
