@@ -82,6 +82,21 @@ def test_join_of_odd_rows(spark, docs):
     assert sorted(r[0] for r in kept if r[0] is not None) == [1, 4, 5, 6, 7, 9, 9, 11]
 
 
+def test_one_row_of_each_class(spark, docs):
+    far = docs.where("doc_id = 9").head()["text"]
+    late = " ".join(f"z{i}" for i in range(100))
+    rows = [(9, late, "en", "a", 1), (20, f"{late} x", "en", "b", 2), (None, late, "en", "c", 3), (1, far, "en", "d", 4)]
+    rows += [(None, "only here without a number", "en", "e", 5)] * 2
+    given = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = jaccard_join.one_of_each(given)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    assert sorted(r["doc_id"] or 0 for r in found) == [0, 1, 1, 4, 5, 6, 7, 9, 11]
+    assert {r["text"] for r in found if r["doc_id"] in (None, 9)} == {late, "only here without a number"}
+    assert len({r["text"] for r in found}) == len(found)
+    assert jaccard_join.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (50, 50)] + [(200, i) for i in range(201, 230)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
