@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeloom.llm import chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, pitman_yor, sharding
+from changeloom.llm import bpe, chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, pitman_yor, sharding
 from changeloom.llm.frames import word_count
 
 SHARDS = 16
@@ -98,6 +98,20 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.when(F.col("tree") != "null", F.col("tree")).cast("bigint").alias("conv_id"), *found.columns[1:])
 
 
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(read(spark, folder, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    back = bpe.decode(ids, path)
+    return back.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard": op1_jaccard,
@@ -110,4 +124,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_licenses": op9_licenses,
         "op10_chat": op10_chat,
+        "op11_bpe": op11_bpe,
     }

@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from changeloom.llm import bpe
+from changeloom.llm.queries import op11_bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    return tokenizer
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.Vocabulary(PATH)
+
+
+@pytest.fixture(scope="module")
+def encoder(vocabulary):
+    return bpe.Encoder(vocabulary)
+
+
+def merged(encoder, piece):
+    """Plain BPE: the lowest rank first, the leftmost of equal ones."""
+    found = [int.from_bytes(encoder.whole[bytes([b])], "little") for b in piece]
+    made = {(a, b): token for token, (a, b, _) in encoder.made.items()}
+    while True:
+        ranked = [(encoder.ranks[pair], i) for i, pair in enumerate(zip(found, found[1:], strict=False)) if pair in encoder.ranks]
+        if not ranked:
+            return found
+        _, i = min(ranked)
+        found[i : i + 2] = [made[found[i], found[i + 1]]]
+
+
+ODD = [
+    "", "<|endoftext|>", "a<|endoftext|> <|endoftext|>b<|endoftext", "a" * 999, " " * 500 + "x", "ü" * 3000, "aaaaab" * 99, "՘x \U0001f600 \U000323b0",
+    "don't I'LL we've 's", "\r\n\r\n a", "\x00\x1c \x85​　", "中文。한국어 ١٢٣", "﻿�￿",
+]
+
+
+def test_texts_equal_the_library(encoder, vocabulary, library):
+    decoder, rng = bpe.Decoder(vocabulary), random.Random(5)
+    letters = "aab bc'’éü\n\t 12!?.<|endoftext|>  😀中文"
+    texts = [*ODD, *("".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(500))]
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x250, 0xD800), (0xE000, 0x10000), (0x10000, 0x110000)]
+    texts += ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(30)) for _ in range(500)]
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert bpe.unpacked(encoder.encode(text)) == ids, text
+        assert decoder.decode(encoder.encode(text)) == library.decode(ids, skip_special_tokens=False) == text
+
+
+def test_every_character_splits_as_in_the_library(encoder, library):
+    for first in [*range(0, 0x3400, 0x400), *range(0xA000, 0x110000, 0x5000), 0x10800, 0x1DC00, 0x1E400]:
+        points = [c for c in range(first, first + 0x400) if not 0xD800 <= c < 0xE000]
+        text = " ".join(f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}!" for c in points)
+        if text:
+            assert bpe.unpacked(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids, hex(first)
+
+
+def test_pieces_equal_plain_merging(encoder):
+    rng = random.Random(7)
+    known = [text for text in encoder.whole]
+    for _ in range(300):
+        piece = b"".join(rng.choice(known)[: rng.randrange(1, 9)] for _ in range(rng.randrange(1, 5)))
+        assert encoder.tokens(piece) == merged(encoder, piece)
+    assert encoder.tokens(b"") == []
+
+
+def test_every_token_is_its_own_encoding(encoder, vocabulary):
+    assert len(encoder.whole) == len(vocabulary.tokens) - len(vocabulary.added)
+    for text, packed in encoder.whole.items():
+        assert encoder.tokens(text) == [int.from_bytes(packed, "little")]
+
+
+def test_long_pieces_take_linear_work(encoder, library):
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefgh") for _ in range(100_000))
+    tries = 0
+    longest = encoder._longest
+
+    def counted(*given):
+        nonlocal tries
+        tries += 1
+        return longest(*given)
+
+    encoder._longest = counted
+    try:
+        found = encoder.tokens(text.encode())
+    finally:
+        encoder._longest = longest
+    assert found == library.encode(text, add_special_tokens=False).ids and tries <= 2 * len(text)
+
+
+def test_frames(spark, docs, library):
+    found = bpe.decode(bpe.encode(docs.withColumnRenamed("shard", "IDS"), PATH).withColumnRenamed("text", "was"), PATH)
+    assert found.columns == ["doc_id", "was", "lang", "source", "ids", "text"]
+    rows = found.collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert bpe.unpacked(row["ids"]) == library.encode(row["was"] or "", add_special_tokens=False).ids and row["text"] == (row["was"] or "")
+    assert bpe.encode(docs.limit(0), PATH).count() == 0 and bpe.decode(found.limit(0), PATH).count() == 0
+    broken = spark.createDataFrame([(None,), (b"\xff\xff\xff\x7f",), (b"\x7f\x00\x00\x00",)], "ids binary")
+    assert [r["text"] for r in bpe.decode(broken, PATH).collect()] == ["", "", library.decode([127], skip_special_tokens=False)]
+
+
+def test_query(spark, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    frame = op11_bpe(spark, FOLDER)
+    assert frame.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and dict(frame.dtypes)["n_tokens"] == "bigint"
+    rows = frame.collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        said = library.decode(ids, skip_special_tokens=False).encode()
+        assert (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) == (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(said).hexdigest())
+
+
+def test_unfit_files(tmp_path):
+    for broken in ('{"model": {"type": "WordLevel"}}', '{"model": {"type": "BPE", "vocab": {"a": 0}, "merges": []}, "pre_tokenizer": {"type": "ByteLevel"}}'):
+        path = tmp_path / "t.json"
+        path.write_text(broken)
+        with pytest.raises(ValueError):
+            bpe.Vocabulary(str(path))
