@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, chat, decontam, jaccard_join, language, license_scan, mixing, mtree, pii, pitman_yor, sharding
+from changeloom.llm import bloom_search, bpe, chat, decontam, dialog_repair, jaccard_join, language, license_scan, mixing, mtree, pii, pitman_yor, sharding
 from changeloom.llm.frames import word_count
 
 SHARDS = 16
@@ -112,6 +114,61 @@ def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults: by a hash of conversation and turn, rows are dropped, emptied, left open, repeated or said by the user."""
+    blank = F.lit(" ")
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    dealt = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(F.encode(key, "utf-8")) % 20).alias("h"))
+    h = F.col("h")
+    copies = F.explode(F.when(h == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    said = F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return dealt.where(h != 0).select("conv_id", "turn", F.when(h == 4, "user").otherwise(F.col("role")).alias("role"), said.alias("text"), copies.alias("copy"))
+
+
+def joined_sha256(rows: DataFrame) -> DataFrame:
+    """``conv`` and the hash of its ``line`` values by ``pos`` and ``step``, joined by line ends; lines are hashed as they pass, whatever their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_conv, state = None, None
+        for batch in batches:
+            done = []
+            for conv, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if state is None or conv != open_conv:
+                    if state is not None:
+                        done.append((open_conv, state.hexdigest()))
+                    open_conv, state = conv, hashlib.sha256()
+                else:
+                    state.update(b"\n")
+                state.update(line.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in done], batch.schema.field(0).type), pa.array([d for _, d in done], pa.string())], ["conv", "sha256"])
+        if state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([open_conv], kind), pa.array([state.hexdigest()], pa.string())], ["conv", "sha256"])
+
+    kind = pa.int64()
+    lines = rows.repartition("conv").sortWithinPartitions("conv", "pos", "step").select(F.col("conv").cast("bigint"), "line")
+    return lines.mapInArrow(run, "conv bigint, sha256 string")
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = read(spark, folder, "conversations")
+    known, rows = dialog_repair.repair(dialog_repair.ordered(damaged(given)))
+    lines = rows.where("edit <> 'D'").select("conv", "pos", "step", F.concat("role", F.lit(":"), "text").alias("line"))
+    hashed = joined_sha256(lines)
+    every = given.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = hashlib.sha256().hexdigest()
+    return (
+        every.join(known, every["conv_id"].eqNullSafe(known["conv"]), "left").drop("conv").alias("k")
+        .join(hashed, F.col("conv_id").eqNullSafe(hashed["conv"]), "left")
+        .select("conv_id", *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.lit(nothing)).alias("repaired_sha256"))
+    )
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_search.search(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"), 10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard": op1_jaccard,
@@ -125,4 +182,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_licenses": op9_licenses,
         "op10_chat": op10_chat,
         "op11_bpe": op11_bpe,
+        "op12_repair": op12_repair,
+        "op13_search": op13_search,
     }
