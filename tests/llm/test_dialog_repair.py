@@ -42,7 +42,7 @@ def all_repairs(kinds):
 def pieces(kinds, cuts):
     parts = [bytes(kinds[a:b]) for a, b in pairwise([0, *cuts, len(kinds)])]
     cost, ends = dr.crossings([dr.summary(part) for part in parts])
-    done = [dr.edits(part, a, b, part is parts[-1]) for part, a, b in zip(parts, [0, *ends], ends, strict=False)]
+    done = [dr.edits(part, a, b, i == len(parts) - 1) for i, (part, a, b) in enumerate(zip(parts, [0, *ends], ends, strict=False))]
     return cost, "".join(edit for some in done for _, edit, _ in some)
 
 
