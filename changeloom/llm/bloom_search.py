@@ -237,8 +237,13 @@ def _not_excluded(blocks: DataFrame, queries: Queries, least: dict[int, int]) ->
 
 
 def _scored(docs: DataFrame, candidates: DataFrame, queries: Queries) -> DataFrame:
-    """Exact scores of candidates, from their whole texts: ``item``, ``doc_id``, ``score``."""
-    wanted = candidates.groupBy("doc_id", "text_key").agg(F.collect_set("item").alias("items"))
+    """Exact scores of candidates, from their whole texts: ``item``, ``doc_id``, ``score``.
+
+    The candidates are written first. Spark then knows their size before it plans the join, and moves no texts where they are few.
+    """
+    path = work_path(docs.sparkSession, "candidates")
+    candidates.groupBy("doc_id", "text_key").agg(F.collect_set("item").alias("items")).write.parquet(path)
+    wanted = docs.sparkSession.read.schema("doc_id bigint, text_key bigint, items array<bigint>").parquet(path)
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
