@@ -85,7 +85,8 @@ class Encoder:
         self.longest = max(self.length.values())
         #: The longest token that each token begins with.
         self.shorter = {token: next((known[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in known), None) for text, token in known.items()}
-        self.whole = {text.encode("latin-1"): token.to_bytes(4, "little") for text, token in known.items()}
+        self.packed = {token: token.to_bytes(4, "little") for token in self.length}
+        self.whole = {text.encode("latin-1"): self.packed[token] for text, token in known.items()}
         self.pieces = _Pieces(self)
         self.split = regex.compile(PIECES)
         self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
@@ -146,24 +147,25 @@ class Encoder:
         work is linear in the length of the piece.
         """
         text = piece.decode("latin-1")
-        n, at, found = len(text), 0, []
+        n, at, found, last = len(text), 0, [], None
         dead = bytearray(n + 1)
-        token = self._longest(text, 0) if n else None
+        length, shorter, compatible, fits, longest = self.length, self.shorter, self.compatible, self.fits, self._longest
+        token = longest(text, 0) if n else None
         while at < n:
             while token is not None:
-                end = at + self.length[token]
-                if not dead[end] and (not found or self.fits(found[-1], token)):
+                end = at + length[token]
+                if not dead[end] and (last is None or compatible.get((last, token)) or fits(last, token)):
                     break
-                token = self.shorter[token]
+                token = shorter[token]
             if token is not None:
                 found.append(token)
-                at = end
-                token = self._longest(text, at) if at < n else None
+                at, last = end, token
+                token = longest(text, at) if at < n else None
             else:
                 dead[at] = 1
-                last = found.pop()
-                at -= self.length[last]
-                token = self.shorter[last]
+                found.pop()
+                at -= length[last]
+                token, last = shorter[last], found[-1] if found else None
         return found
 
     def _longest(self, text: str, at: int) -> int:
@@ -197,7 +199,7 @@ class _Pieces(dict):
         raw = piece.encode()
         packed = self.encoder.whole.get(raw)
         if packed is None:
-            packed = np.array(self.encoder.tokens(raw), "<u4").tobytes()
+            packed = b"".join(map(self.encoder.packed.__getitem__, self.encoder.tokens(raw)))
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
