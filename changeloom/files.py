@@ -39,6 +39,12 @@ def written(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """A folder, empty if it is new."""
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

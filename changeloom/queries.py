@@ -28,7 +28,8 @@ from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, hrm_
 from changeloom.session import work_path
 from changeloom.sources.changelog import bad_messages, changes, file_log, in_generation, snapshot_log
 from changeloom.sources.tables import scan
-from changeloom.streaming import totals as group_totals
+from changeloom.streaming import state_totals, totals as group_totals
+from changeloom.streaming.keyed_state import KeyedState
 from changeloom.streaming.replicate import keyed_tables, replicate, replicate_groups
 
 NOW = {"availableNow": True}
@@ -230,6 +231,30 @@ def stream_order_summary(s: Source) -> DataFrame:
     return group_totals.order_summary(kept, VIP, HIGH)
 
 
+def stream_keyed_state(s: Source) -> DataFrame:
+    """The last event of every user, kept in the state of a stream and read back from there."""
+    kept = KeyedState(USERS, work_path(s.spark, "checkpoint"))
+    kept.follow(_stream(s, s.event_log())(), trigger=NOW).awaitTermination()
+    return kept.current(s.spark, "user_state")
+
+
+def _state_totals(s: Source, complete: bool) -> DataFrame:
+    kept = state_totals.StateTotals(CRM.select("orders"), work_path(s.spark, "checkpoint"), "cus_id", "amount", "order_at", buckets=64)
+    for query in kept.follow(_stream(s, s.order_log(CRM, complete))(), complete=complete, trigger=NOW):
+        query.awaitTermination()
+    return state_totals.order_summary(kept.current(s.spark), VIP, HIGH)
+
+
+def stream_totals_state(s: Source) -> DataFrame:
+    """Totals per customer out of signed rows, the log carrying every old image."""
+    return _state_totals(s, True)
+
+
+def stream_totals_images(s: Source) -> DataFrame:
+    """The same from a log without some old images, which the stream's state then supplies."""
+    return _state_totals(s, False)
+
+
 def domain_sales(s: Source) -> DataFrame:
     """The sales domain from its change logs to its published views."""
     domain = replace(domains.SALES, summary=partial(group_totals.order_summary, vip=VIP, high=HIGH))
@@ -500,6 +525,9 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "stream_replicate_each": stream_replicate_each,
         "stream_attendance": stream_attendance,
         "stream_order_summary": stream_order_summary,
+        "stream_keyed_state": stream_keyed_state,
+        "stream_totals_state": stream_totals_state,
+        "stream_totals_images": stream_totals_images,
         "domain_sales": domain_sales,
         "registry_replicate": registry_replicate,
         "registry_admin": registry_admin,

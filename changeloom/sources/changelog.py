@@ -167,3 +167,79 @@ def changes(log: DataFrame, table: Table, on_bad: str = "raise") -> DataFrame:
 def bad_messages(log: DataFrame, table: Table) -> DataFrame:
     """The unreadable messages, as they came."""
     return parse(log, table).where("bad").select("topic", "partition", "offset", "value")
+
+
+def variant_changes(log: DataFrame, registry: Registry, on_bad: str = "raise") -> DataFrame:
+    """Changes of all tables of ``registry`` in one pass: ``topic``, ``key``, ``op``, ``offset``, ``before``, ``row``.
+
+    ``row`` is the new image (NULL for a delete) and ``before`` the old one, both as VARIANT, so tables of any columns share one
+    frame, and a column that the registry does not know yet is carried along. ``key`` is a JSON array of the key's values as text.
+    Messages of other topics, without a value, or without a key are left out. ``on_bad`` as for ``changes``; a value that
+    cannot be converted to its column's type makes a message unreadable too.
+    """
+    if on_bad not in ("raise", "skip"):
+        raise ValueError(f"on_bad is 'raise' or 'skip', not {on_bad!r}")
+    parsed = variants(log, registry)
+    if on_bad == "skip":
+        keep = "NOT bad AND key IS NOT NULL"
+    else:
+        failure = "raise_error(concat('unreadable change at ', concat_ws('/', topic, partition, offset)))"
+        keep = f"CASE WHEN bad THEN CAST({failure} AS boolean) ELSE key IS NOT NULL END"
+    return parsed.where(keep).selectExpr("topic", "key", "op", "offset", "before", "if(op = 'd', NULL, after) AS row")
+
+
+def bad_variants(log: DataFrame, registry: Registry) -> DataFrame:
+    """The unreadable messages of all tables, as they came."""
+    return variants(log, registry).where("bad").select("topic", "partition", "offset", "value")
+
+
+def variants(log: DataFrame, registry: Registry) -> DataFrame:
+    """The decoded messages of all tables, readable or not. Each generator keeps its step from being copied into later ones."""
+    topics = [registry.topic(t) for t in registry]
+
+    def each(case) -> str:
+        return f"CASE topic {' '.join(f'WHEN {_quoted(registry.topic(t))} THEN {case(t)}' for t in registry)} END"
+
+    field = _field
+    def key(t: Table) -> str:
+        values = [f"coalesce({field('after', k, 'string')}, {field('before', k, 'string')})" for k in t.key]
+        return f"if({' OR '.join(f'{v} IS NULL' for v in values)}, NULL, to_json(array({', '.join(values)})))"
+
+    def unfit(t: Table) -> str:
+        """Whether some column has a value, other than null, that its type cannot hold."""
+        value = lambda f: field("image", f.name, "variant")
+        given = lambda f: f"{value(f)} IS NOT NULL AND NOT is_variant_null({value(f)})"
+        columns = [f for f in t.row_type.fields if f.dataType.simpleString() != "string"] if t.columns else []
+        return " OR ".join([f"({given(f)} AND {field('image', f.name, f.dataType.simpleString())} IS NULL)" for f in columns] or ["false"])
+
+    known = ", ".join(f"'{op}'" for op in OPS)
+    there = "if(is_variant_null({0}), NULL, {0})"
+    parsed = log.where(F.col("value").isNotNull() & F.col("topic").isin(topics)).selectExpr(
+        "topic", "partition", "offset", "value", "inline(array(struct(try_parse_json(value) AS v)))"
+    )
+    bodies = parsed.selectExpr("topic", "partition", "offset", "value", "inline(array(struct(coalesce(try_variant_get(v, '$.payload', 'variant'), v) AS body)))")
+    images = bodies.selectExpr(
+        "topic", "partition", "offset", "value",
+        "inline(array(struct(try_variant_get(body, '$.op', 'string') AS op, try_variant_get(body, '$.before', 'variant') AS old, try_variant_get(body, '$.after', 'variant') AS new)))",
+    )
+    plain = images.selectExpr("topic", "partition", "offset", "value", "op", f"{there.format('old')} AS before", f"{there.format('new')} AS after")
+    imaged = plain.selectExpr("*", "if(op = 'd', before, after) AS image")
+    return imaged.selectExpr(
+        "topic", "partition", "offset", "value",
+        f"inline(array(struct(op, before, after, {each(key)} AS key, op IS NULL OR op NOT IN ({known}) OR image IS NULL OR {each(unfit)} AS bad)))",
+    )
+
+
+def variant_field(image: str, name: str, kind: str) -> Column:
+    """One column of a VARIANT image; NULL if it is missing, null, or not of that kind."""
+    return F.expr(_field(image, name, kind))
+
+
+def _field(image: str, name: str, kind: str) -> str:
+    path = f"$['{name}']"
+    return f"try_variant_get({image}, {_quoted(path)}, {_quoted(kind)})"
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -1,0 +1,178 @@
+"""Tables in a stream's state stay the same however a log is cut, repeated, delayed or interrupted."""
+
+from __future__ import annotations
+
+import json
+import random
+from dataclasses import replace
+
+import pytest
+import seeds
+from pyspark.sql import functions as F
+
+from changeloom.plans import transforms
+from changeloom.registry import CRM, HRM, Registry, Table
+from changeloom.sources.changelog import RAW_LOG, bad_variants, file_log, in_generation, snapshot_log, variant_changes
+from changeloom.streaming.keyed_state import KeyedState, committed, current_tables, follow_groups, last_images, set_aside
+
+NOW = {"availableNow": True}
+KV = Registry("p", "s", (Table("kv", ("k",), "k bigint, v string, n bigint"), Table("two", ("a", "b"), "a bigint, b string, x double")))
+
+
+def write_log(spark, folder, messages, name="log"):
+    spark.createDataFrame([(t, 0, o, v) for t, o, v in messages], RAW_LOG).coalesce(1).write.mode("append").json(f"{folder}/{name}", ignoreNullFields=False)
+
+
+def message(op, row, wrapped=False):
+    body = {"op": op, "before": row if op == "d" else None, "after": None if op == "d" else row}
+    return json.dumps({"payload": body} if wrapped else body)
+
+
+def run(spark, folder, registry=KV, checkpoint="checkpoint", generation=0, **options):
+    kept = KeyedState(registry, f"{folder}/{checkpoint}")
+    kept.follow(in_generation(file_log(spark, f"{folder}/log", max_files=1), generation), trigger=NOW, **options).awaitTermination()
+    return kept
+
+
+def rows(frame):
+    return {tuple(r) for r in frame.collect()}
+
+
+def random_log(seed, size=120, keys=25):
+    """Changes of which a third belong to one key, with their order."""
+    rng, log = random.Random(seed), []
+    for offset in range(size):
+        k = 0 if rng.random() < 1 / 3 else rng.randrange(keys)
+        op = "d" if rng.random() < 0.25 else "u"
+        log.append(("p.s.kv", offset, message(op, {"k": k, "v": f"v{offset}", "n": offset}, offset % 2 == 0)))
+    return log
+
+
+def expected(log):
+    last = {}
+    for _, offset, value in sorted(log, key=lambda m: m[1]):
+        body = json.loads(value)
+        body = body.get("payload", body)
+        row = body["after"] or body["before"]
+        last[row["k"]] = (row["k"], row["v"], row["n"]) if body["op"] != "d" else None
+    return {row for row in last.values() if row}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_any_split_gives_the_same_state(spark, folder, parts):
+    log = random_log(parts)
+    step = -(-len(log) // parts)
+    for start in range(0, len(log), step):
+        write_log(spark, folder, log[start : start + step])
+        kept = run(spark, folder)
+    assert rows(kept.current(spark, "kv")) == expected(log) and committed(spark, kept.checkpoint) == list(range(parts))
+
+
+def test_late_and_repeated_changes_do_not_win(spark, folder):
+    log = random_log(7)
+    for some in (log[60:], log[:60], log[20:90]):
+        write_log(spark, folder, some)
+        kept = run(spark, folder)
+    assert rows(kept.current(spark, "kv")) == expected(log)
+
+
+def test_replay_does_not_bring_back_a_deleted_row(spark, folder):
+    made, gone = ("p.s.kv", 1, message("c", {"k": 1, "v": "a", "n": 1})), ("p.s.kv", 2, message("d", {"k": 1}))
+    for some in ([made], [gone, ("p.s.kv", 3, None)], [made]):
+        write_log(spark, folder, some)
+        kept = run(spark, folder)
+    assert rows(kept.current(spark, "kv")) == set()
+    assert rows(kept.current(spark, "kv", batch=0)) == {(1, "a", 1)}
+
+
+def test_restart_does_nothing_twice_and_a_new_checkpoint_gives_the_same(spark, folder):
+    write_log(spark, folder, random_log(3))
+    first = run(spark, folder)
+    before, batches = rows(first.current(spark, "kv")), committed(spark, first.checkpoint)
+    assert rows(run(spark, folder).current(spark, "kv")) == before and committed(spark, first.checkpoint) == batches
+    assert rows(run(spark, folder, checkpoint="another").current(spark, "kv")) == before
+
+
+def test_topic_created_anew(spark, folder):
+    write_log(spark, folder, [("p.s.kv", 100, message("c", {"k": 1, "v": "old", "n": 1})), ("p.s.kv", 101, message("c", {"k": 2, "v": "old", "n": 2}))])
+    run(spark, folder)
+    log = spark.createDataFrame([("p.s.kv", 0, 0, message("c", {"k": 1, "v": "new", "n": 3}))], RAW_LOG)
+    log.write.mode("append").json(f"{folder}/log")
+    assert rows(run(spark, folder, generation=1).current(spark, "kv")) == {(1, "new", 3), (2, "old", 2)}
+
+
+def test_composite_keys_and_many_tables_in_one_state(spark, folder):
+    messages = [("p.s.two", 0, message("c", {"a": 1, "b": "x", "x": 1.5})), ("p.s.two", 1, message("c", {"a": 1, "b": "y", "x": 2})), ("p.s.two", 2, message("d", {"a": 1, "b": "x"}))]
+    messages += [("p.s.kv", 0, message("c", {"k": 1, "v": "é", "n": 2**53 + 1})), ("p.s.other", 0, "garbage"), ("p.s.two", 3, message("c", {"a": None, "b": "z", "x": 0}))]
+    write_log(spark, folder, messages)
+    kept = run(spark, folder)
+    assert rows(kept.current(spark, "two")) == {(1, "y", 2.0)} and rows(kept.current(spark, "kv")) == {(1, "é", 2**53 + 1)}
+
+
+def test_column_that_appears_between_batches(spark, folder):
+    write_log(spark, folder, [("p.s.kv", 0, message("c", {"k": 1, "v": "a", "n": 1})), ("p.s.kv", 1, message("c", {"k": 2, "v": "b", "n": 2}))])
+    run(spark, folder)
+    write_log(spark, folder, [("p.s.kv", 2, message("u", {"k": 2, "v": "b", "n": 2, "w": 0.5}))])
+    kept = run(spark, folder)
+    wider = replace(KV, tables=(Table("kv", ("k",), "k bigint, v string, n bigint, w double"),))
+    assert rows(replace(kept, registry=wider).current(spark, "kv")) == {(1, "a", 1, None), (2, "b", 2, 0.5)}
+    assert rows(kept.current(spark, "kv")) == {(1, "a", 1), (2, "b", 2)}
+
+
+BAD = ["garbage", '{"op": "x", "after": {"k": 1}}', '{"op": "u", "after": null}', '{"op": "c", "after": {"k": 1, "n": "many"}}', "[1]", '{"payload": null}', '{"op": "d", "after": {"k": 1}}']
+
+
+def test_unreadable_messages(spark, folder):
+    write_log(spark, folder, [("p.s.kv", 0, message("c", {"k": 1, "v": "a", "n": 1})), *[("p.s.kv", n, value) for n, value in enumerate(BAD, 1)]])
+    with pytest.raises(Exception, match="unreadable change"):
+        run(spark, folder, checkpoint="c1")
+    assert rows(KeyedState(KV, f"{folder}/c1").current(spark, "kv")) == set()
+    assert rows(run(spark, folder, checkpoint="c2", on_bad="skip").current(spark, "kv")) == {(1, "a", 1)}
+    set_aside(file_log(spark, f"{folder}/log"), KV, f"{folder}/dead", f"{folder}/c3", trigger=NOW).awaitTermination()
+    assert {r.value for r in spark.read.parquet(f"{folder}/dead").collect()} == set(BAD)
+    log = file_log(spark, f"{folder}/log", streaming=False)
+    assert bad_variants(log, KV).count() == len(BAD)
+    with pytest.raises(ValueError):
+        variant_changes(log, KV, "ignore")
+
+
+def test_groups_of_tables(spark, folder):
+    tables = seeds.personnel(spark)
+    for t in HRM:
+        snapshot_log(tables[t.name], t, HRM.topic(t), wrapped=t.name != "payroll").write.mode("append").json(f"{folder}/log", ignoreNullFields=False)
+
+    def source(group):
+        return file_log(spark, f"{folder}/log").where(F.col("topic").isin([group.topic(t) for t in group]))
+
+    kept, queries = follow_groups(source, HRM, f"{folder}/checkpoints", group_size=3, trigger=NOW)
+    for query in queries:
+        query.awaitTermination()
+    arrived = current_tables(spark, kept)
+    assert len(queries) == 2 and list(arrived) == [t.name for t in HRM]
+    assert rows(arrived["attendance"]) == rows(transforms.attendance_analytics(tables["attendance"]))
+    assert rows(arrived["payroll"]) == rows(transforms.payroll_progressive(tables["payroll"]))
+
+
+def test_row_that_stops_qualifying_leaves_the_target(spark, folder):
+    registry = HRM.select("leave_requests")
+    topic = registry.topic("leave_requests")
+    full = {"id": 1, "emp_id": 1, "leave_type": "sick", "start_date": 0, "end_date": 0, "days": 1, "status": "x", "reason": ""}
+    write_log(spark, folder, [(topic, 0, message("c", full))])
+    assert run(spark, folder, registry).current(spark, "leave_requests").count() == 1
+    write_log(spark, folder, [(topic, 1, message("u", full | {"emp_id": None}))])
+    assert run(spark, folder, registry).current(spark, "leave_requests").count() == 0
+
+
+def test_nothing_arrived_yet(spark, folder):
+    assert KeyedState(CRM, folder).current(spark, "orders").count() == 0
+
+
+def test_plan_is_one_scan_and_a_state_store(spark, folder):
+    write_log(spark, folder, random_log(5))
+    query = KeyedState(KV, f"{folder}/c").follow(file_log(spark, f"{folder}/log"), trigger=NOW)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "StateStoreSave" in plan and plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "Python" not in plan
+    assert plan.count("parseJson") == 1
+    latest = last_images(variant_changes(file_log(spark, f"{folder}/log", streaming=False), KV))
+    assert latest.where("last.op <> 'd'").count() == len(expected(random_log(5)))
