@@ -6,7 +6,8 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructField
 
 from changeloom import domains, files
 from changeloom.adapters import (
@@ -24,15 +25,27 @@ from changeloom.adapters import (
 from changeloom.operators.changes import current_rows, weighted, weighted_count, weighted_sum
 from changeloom.operators.upsert import append, reload, upsert, upsert_any
 from changeloom.plans import administration as adm, personnel, sales, transforms, views
-from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, hrm_reduced, with_times
+from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, Table, hrm_reduced, with_times
 from changeloom.session import work_path
-from changeloom.sources.changelog import bad_messages, changes, file_log, in_generation, snapshot_log
+from changeloom.sources.changelog import (
+    bad_messages,
+    changes,
+    envelope,
+    file_log,
+    in_generation,
+    message,
+    snapshot_log,
+    variant_field,
+    versioned_log,
+)
 from changeloom.sources.tables import scan
 from changeloom.streaming import state_totals, totals as group_totals
+from changeloom.streaming.fan_out import FanOut
 from changeloom.streaming.keyed_state import KeyedState
 from changeloom.streaming.replicate import keyed_tables, replicate, replicate_groups
 
 NOW = {"availableNow": True}
+CHECKSUM = (1 << 61) - 1
 
 
 # Tables as the views expect them
@@ -280,27 +293,101 @@ def domain_sales(s: Source) -> DataFrame:
 # Registry
 
 
-def registry_replicate(s: Source) -> DataFrame:
-    """Every table of the folder through its change log, by one generic job."""
-    registry = generic_registry(s)
+def checksum(rows: DataFrame) -> list[Column]:
+    """Number of rows and a sum over a hash of all columns of every row, whatever their order.
+
+    Fractions enter with six places, nested values as the text they are captured as.
+    """
+
+    def plain(field: StructField) -> Column:
+        column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        if kind in ("double", "float"):
+            column = F.floor(column.cast("double") * 1_000_000).cast("bigint")
+        elif kind.startswith("array<"):
+            column = F.array_join(F.transform(column, lambda x: F.floor(x.cast("double") * 1_000_000).cast("string")), ",")
+        return F.coalesce(column.cast("string"), F.lit("~"))
+
+    text = F.concat_ws("|", *[plain(f) for f in rows.schema.fields])
+    part = F.conv(F.substring(F.md5(F.encode(text, "utf-8")), 1, 15), 16, 10).cast("decimal(20,0)")
+    total = F.coalesce(F.sum(part), F.lit(0)) % F.lit(CHECKSUM)
+    return [F.count(F.lit(1)).alias("rows"), total.cast("bigint").alias("checksum")]
+
+
+def _versions(s: Source, table: Table, topic: str) -> DataFrame:
+    """A given table as messages; line items that share a key are versions of it, in the order of their columns."""
+    rows, nth = s.read(table.name), F.lit(0)
+    if table.name == "lineitem":
+        nth = F.row_number().over(Window.partitionBy(*table.key).orderBy(*[F.col(c).asc_nulls_first() for c in rows.columns]))
+    numbered = captured(s.spread(rows.withColumn("_nth", nth.cast("bigint"))))
+    return versioned_log(numbered, table, topic, "_nth")
+
+
+def _given_log(s: Source, registry: Registry) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_versions(s, t, registry.topic(t)) for t in registry])
+
+
+def _restored(s: Source, table: Table, rows: DataFrame) -> DataFrame:
+    """Captured rows with nested columns read back from their text."""
+    nested = {f.name: f.dataType for f in s.read(table.name).schema.fields if f.dataType.simpleString().startswith("array")}
+    return rows.withColumns({name: F.from_json(name, kind) for name, kind in nested.items()}) if nested else rows
+
+
+def _reports(s: Source, registry: Registry, current: Callable[[Table], DataFrame]) -> DataFrame:
     reports = []
     for table in registry:
-        log = snapshot_log(captured(s.spread(s.read(table.name))), table, registry.topic(table))
-        rows = table.project(current_rows(changes(log, table), table.key, table.row_type))
-        key = F.concat_ws("/", *table.key)
-        texts = [f.name for f in table.row_type.fields if f.dataType.simpleString() == "string" and f.name != "embedding"]
-        chars = reduce(lambda a, b: a + b, [F.coalesce(F.length(c), F.lit(0)) for c in texts], F.lit(0))
-        reports.append(
-            rows.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.min(key).alias("first_key"),
-                F.max(key).alias("last_key"),
-                F.coalesce(F.sum(chars), F.lit(0)).cast("bigint").alias("chars"),
-            ).select(F.lit(table.name).alias("tbl"), "rows", "first_key", "last_key", "chars")
-        )
+        rows = _restored(s, table, current(table))
+        reports.append(rows.agg(*checksum(rows)).select(F.lit(table.name).alias("tbl"), "rows", "checksum"))
     return reduce(DataFrame.unionByName, reports)
 
 
+def registry_replicate(s: Source) -> DataFrame:
+    """Every table of the folder through its change log, by one generic job, with a checksum of all its columns."""
+    registry = generic_registry(s)
+
+    def current(table: Table) -> DataFrame:
+        log = _versions(s, table, registry.topic(table))
+        return table.project(current_rows(changes(log, table), table.key, table.row_type))
+
+    return _reports(s, registry, current)
+
+
+def stream_fan_out(s: Source) -> DataFrame:
+    """Every table of the folder out of one log, by one streaming query with one write."""
+    registry = generic_registry(s)
+    kept = FanOut(registry, work_path(s.spark, "targets"))
+    kept.follow(_stream(s, _given_log(s, registry))(), work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
+    return _reports(s, registry, lambda table: kept.current(s.spark, table))
+
+
+def generic_admin() -> Registry:
+    """All administration tables with the generic columns: their key, a name and a time."""
+
+    def columns(t: Table) -> str:
+        return ", ".join([*[f"`{k}` string" for k in t.key], *[f"{c} {kind}" for c, kind in (("name", "string"), ("created_at", "bigint")) if c not in t.key]])
+
+    return replace(ADMIN, tables=tuple(Table(t.name, t.key, columns(t), t.target) for t in ADMIN))
+
+
+def registry_admin_all(s: Source) -> DataFrame:
+    """All administration tables out of one log by one call: each event is a row of one of them, dealt out by its number."""
+    registry = generic_admin()
+    topics = F.array(*[F.lit(registry.topic(t)) for t in registry])
+    rows = s.spread(s.read("events")).select("event_id", "event_type", micros("ts").alias("created_at"), F.pmod("event_id", F.lit(len(registry))).cast("int").alias("place"))
+    keys = {t.key[0] for t in registry}
+    images = F.struct(*[F.col("event_id").cast("string").alias(k) for k in sorted(keys)], F.col("event_type").alias("name"), "created_at")
+    log = rows.select(
+        F.get(topics, F.col("place")).alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+        message(envelope(F.lit("c"), F.lit(None).cast("string"), images)).alias("value"),
+    )
+    kept = FanOut(registry, work_path(s.spark, "targets"))
+    kept.follow(_stream(s, log)(), work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
+    arrived = kept.latest(s.spark).where("op <> 'd'").select(
+        "target", F.get_json_object("key", "$[0]").alias("id"), variant_field("row", "name", "string").alias("name"), variant_field("row", "created_at", "bigint").alias("created_at")
+    )
+    frame = arrived.select("id", "name", "created_at")
+    return arrived.groupBy(F.col("target").alias("tbl")).agg(*checksum(frame))
+
+
 def registry_admin(s: Source) -> DataFrame:
     """Administration tables, each through its own log, then a view over what arrived."""
     rows = {
@@ -531,6 +618,8 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "domain_sales": domain_sales,
         "registry_replicate": registry_replicate,
         "registry_admin": registry_admin,
+        "registry_admin_all": registry_admin_all,
+        "stream_fan_out": stream_fan_out,
         "generic_projection": generic_projection,
         "time_columns": time_columns,
         "copy_employees_demo": copy_employees_demo,

@@ -80,13 +80,19 @@ def snapshot_log(rows: DataFrame, table: Table, topic: str, wrapped: bool = True
 
     Union it with the log to start from a table that already has data.
     """
-    after = F.struct(*[F.col(c) for c in table.row_type.fieldNames()])
-    body = envelope(F.lit("r"), F.lit(None).cast(table.row_type), after)
+    return _row_log(rows, table, topic, wrapped, "r", F.lit(-1))
+
+
+def versioned_log(rows: DataFrame, table: Table, topic: str, offset: str, wrapped: bool = True) -> DataFrame:
+    """Versions of rows as messages at the offsets in a column of theirs."""
+    return _row_log(rows, table, topic, wrapped, "c", F.col(offset))
+
+
+def _row_log(rows: DataFrame, table: Table, topic: str, wrapped: bool, op: str, offset: Column) -> DataFrame:
+    after = F.struct(*[F.col(f"`{c}`") for c in table.row_type.fieldNames()])
+    body = envelope(F.lit(op), F.lit(None).cast(table.row_type), after)
     return rows.select(
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.lit(-1).cast("bigint").alias("offset"),
-        message(body, wrapped).alias("value"),
+        F.lit(topic).alias("topic"), F.lit(0).alias("partition"), offset.cast("bigint").alias("offset"), message(body, wrapped).alias("value")
     )
 
 
@@ -198,7 +204,11 @@ def variants(log: DataFrame, registry: Registry) -> DataFrame:
     topics = [registry.topic(t) for t in registry]
 
     def each(case) -> str:
-        return f"CASE topic {' '.join(f'WHEN {_quoted(registry.topic(t))} THEN {case(t)}' for t in registry)} END"
+        """The expression that belongs to a message's table; tables with the same one share a branch."""
+        branches: dict[str, list[str]] = {}
+        for t in registry:
+            branches.setdefault(case(t), []).append(_quoted(registry.topic(t)))
+        return f"CASE {' '.join(f'WHEN topic IN ({", ".join(own)}) THEN {text}' for text, own in branches.items())} END"
 
     field = _field
     def key(t: Table) -> str:

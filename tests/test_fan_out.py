@@ -1,0 +1,84 @@
+"""One pass and one write for many targets."""
+
+from __future__ import annotations
+
+import json
+
+import seeds
+from pyspark.sql import functions as F
+from test_keyed_state import KV, expected, message, random_log, rows, write_log
+
+from changeloom.plans import transforms
+from changeloom.registry import HRM, Registry, Table
+from changeloom.sources.changelog import RAW_LOG, file_log, snapshot_log
+from changeloom.streaming.fan_out import FanOut, arranged
+
+NOW = {"availableNow": True}
+
+
+def raw(spark, messages):
+    return spark.createDataFrame([(t, 0, o, v) for t, o, v in messages], RAW_LOG)
+
+
+def test_batches_in_any_order_and_again(spark, folder):
+    log, kept = random_log(9), FanOut(KV, f"{folder}/out")
+    parts = [log[:50], log[50:90], log[90:]]
+    for batch in (1, 0, 2, 1, 1):
+        kept.write(raw(spark, parts[batch]), batch)
+    assert rows(kept.current(spark, "kv")) == expected(log) and kept.current(spark, "two").count() == 0
+
+
+def test_stream_of_all_personnel_tables(spark, folder):
+    tables = seeds.personnel(spark)
+    for t in HRM:
+        snapshot_log(tables[t.name], t, HRM.topic(t)).write.mode("append").json(f"{folder}/log", ignoreNullFields=False)
+    kept = FanOut(HRM, f"{folder}/out")
+    query = kept.follow(file_log(spark, f"{folder}/log"), f"{folder}/c", trigger=NOW)
+    query.awaitTermination()
+    assert rows(kept.current(spark, "attendance")) == rows(transforms.attendance_analytics(tables["attendance"]))
+    assert rows(kept.current(spark, "payroll")) == rows(transforms.payroll_progressive(tables["payroll"]))
+    assert query.recentProgress[0]["numInputRows"] == sum(tables[t.name].count() for t in HRM)
+
+
+def many(n):
+    return Registry("m", "s", tuple(Table(f"t{i}", ("id",), "id bigint, x string") for i in range(n)))
+
+
+def test_the_batch_is_scanned_once_for_any_number_of_tables(spark, folder):
+    for n in (2, 40):
+        registry = many(n)
+        write_log(spark, folder, [(f"m.s.t{i % n}", i, message("c", {"id": i, "x": f"{i}"})) for i in range(200)], f"log{n}")
+        log = file_log(spark, f"{folder}/log{n}", streaming=False)
+        plan = arranged(log, registry)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("parseJson") == 1
+        kept = FanOut(registry, f"{folder}/out{n}")
+        query = kept.follow(file_log(spark, f"{folder}/log{n}"), f"{folder}/c{n}", trigger=NOW)
+        query.awaitTermination()
+        assert query.recentProgress[0]["numInputRows"] == 200
+        counts = kept.latest(spark).groupBy("target").count().collect()
+        assert len(counts) == n and sum(r["count"] for r in counts) == 200
+
+
+def test_reading_one_target_leaves_the_others_alone(spark, folder):
+    registry, kept = many(3), FanOut(many(3), f"{folder}/out")
+    kept.write(raw(spark, [(registry.topic(f"t{i}"), i, message("c", {"id": i, "x": "a"})) for i in range(3)]), 0)
+    plan = kept.current(spark, "t1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(target" in plan
+    assert len(kept.current(spark, "t1").inputFiles()) >= 1
+
+
+def test_hot_target_is_written_by_several_tasks(spark, folder):
+    registry, kept = many(3), FanOut(many(3), f"{folder}/out")
+    messages = [(registry.topic("t0"), i, json.dumps({"op": "c", "after": {"id": i, "x": "y" * 50}})) for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept.write(raw(spark, [*messages, (registry.topic("t1"), 0, message("c", {"id": 1, "x": "a"}))]), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    per_file = kept.latest(spark).where("target = 't0'").count()
+    names = spark.read.parquet(f"{folder}/out").where("target = 't0'").select(F.input_file_name()).distinct().count()
+    assert per_file == 4000 and names > 1
+
+
+def test_nothing_arrived_yet(spark, folder):
+    assert FanOut(KV, f"{folder}/none").current(spark, "kv").count() == 0
