@@ -38,6 +38,7 @@ from changeloom.sources.changelog import (
     variant_field,
     versioned_log,
 )
+from changeloom.sources import snapshot as snapshots
 from changeloom.sources.tables import scan
 from changeloom.streaming import state_totals, totals as group_totals
 from changeloom.streaming.fan_out import FanOut
@@ -128,6 +129,29 @@ def cdc_snapshot_then_changes(s: Source) -> DataFrame:
     return current_rows(changes(log, table), table.key, table.row_type)
 
 
+CHUNKS = 8
+
+
+def cdc_chunked_snapshot(s: Source) -> DataFrame:
+    """Orders whose snapshot is taken in eight chunks while their log goes on.
+
+    The capture begins at a quarter of the log. Each chunk is read later than the one before, the table being what the log has made of it by
+    then, and its marks lie around that moment. Keys are dealt out to the chunks, so each one meets rows that are finished, being
+    changed, and not there yet.
+    """
+    table = CRM["orders"]
+    end = s.read("orders").agg(F.max("o_orderkey") * 4 + 3).head()[0] or 0
+    step = end // (CHUNKS + 4)
+    marks = s.spark.createDataFrame([(c, (c + 3) * step, (c + 5) * step) for c in range(CHUNKS)], "chunk bigint, low bigint, high bigint")
+    decoded = changes(s.order_log(CRM), table)
+    chunk = F.pmod("id", F.lit(CHUNKS))
+    moment = (chunk + 4) * step
+    present = current_rows(decoded.where(F.col("offset") <= moment), table.key, table.row_type).withColumn("chunk", chunk)
+    captured_log = s.order_log(CRM).where(F.col("offset") > 3 * step)
+    snapshot = snapshots.settled(present, marks, changes(captured_log, table), table, CRM.topic(table))
+    return current_rows(changes(snapshot.unionByName(captured_log), table), table.key, table.row_type)
+
+
 def cdc_current_state(s: Source) -> DataFrame:
     return current_rows(changes(s.event_log(), USER_STATE), USER_STATE.key, USER_STATE.row_type)
 
@@ -603,6 +627,7 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "cdc_unwrap": cdc_unwrap,
         "cdc_dead_letters": cdc_dead_letters,
         "cdc_snapshot_then_changes": cdc_snapshot_then_changes,
+        "cdc_chunked_snapshot": cdc_chunked_snapshot,
         "cdc_current_state": cdc_current_state,
         "cdc_weighted_totals": cdc_weighted_totals,
         "stream_replicate": stream_replicate,

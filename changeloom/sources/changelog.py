@@ -88,6 +88,11 @@ def versioned_log(rows: DataFrame, table: Table, topic: str, offset: str, wrappe
     return _row_log(rows, table, topic, wrapped, "c", F.col(offset))
 
 
+def placed_log(rows: DataFrame, table: Table, topic: str, offset: str, wrapped: bool = True) -> DataFrame:
+    """Existing rows as snapshot messages at the offsets in a column of theirs."""
+    return _row_log(rows, table, topic, wrapped, "r", F.col(offset))
+
+
 def _row_log(rows: DataFrame, table: Table, topic: str, wrapped: bool, op: str, offset: Column) -> DataFrame:
     after = F.struct(*[F.col(f"`{c}`") for c in table.row_type.fieldNames()])
     body = envelope(F.lit(op), F.lit(None).cast(table.row_type), after)
