@@ -101,11 +101,63 @@ def test_language(spark, docs):
 def test_small_languages_are_learned(spark):
     big = [(i, " ".join(f"{a}{b}o" for a in "bcdfg" for b in "aeiu"), "aa") for i in range(400)]
     late = [(1000 + i, f"\u0436\u0434{chr(0x430 + i)}\u0449 \u0448{chr(0x430 + i)}\u044e", "zz") for i in range(5)]
-    model = language.fit(spark.createDataFrame([*big, *late], "doc_id bigint, text string, lang string"), 50, 20)
-    assert model.languages == ["aa", "zz"] and len([w for w in model.words if "\u0436" in w]) == 5
+    model = language.fit(spark.createDataFrame([*big, *late], "doc_id bigint, text string, lang string"), 50)
+    assert model.languages == ["aa", "zz"] and all(model.knows(word) for _, text, _ in late for word in text.split())
     assert model.predict("\u0436\u0434\u044e\u0449 \u0448\u0449\u044e")[0] == "zz" and model.predict("\u0448\u0430\u044e")[1] > 0.9
-    one_word = language.fit(spark.createDataFrame([(1, "ab ab cd", "aa"), (2, "xy", "zz")], "doc_id bigint, text string, lang string"), 50, 1)
-    assert set(one_word.words) == {"ab", "xy"} and {"c", "d"} <= set(one_word.runs[1])
+    small = language.fit(spark.createDataFrame([(1, "ab ab cd", "aa"), (2, "xy", "zz")], "doc_id bigint, text string, lang string"), 50)
+    assert all(small.knows(word) for word in ("ab", "cd", "xy")) and not small.knows("ac")
+    assert all(small._found(1, list("abcdxy"))[1]) and all(small._found(4, [" ab ", " xy "])[1])
+
+
+def test_rows_without_ids_are_sampled_like_others(spark):
+    rows = [(None, f"word{i} other{chr(97 + i % 26)}", "aa") for i in range(1000)]
+    known = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(known, 50)
+    assert 20 < sum(model.knows(f"other{chr(97 + i % 26)}") for i in range(26)) + len(model.hashes[0]) < 120
+
+
+def plain_prediction(model_rows, languages, text):
+    """The same model with plain dictionaries."""
+    scores = dict.fromkeys(languages, 0.0)
+    found = language.WORD.findall(text.lower())
+    for word in found:
+        parts = [(0, word)] if (0, word) in model_rows else []
+        for n in range(language.LONGEST, 0, -1):
+            parts = parts or [(n, run) for run in language.runs(word, n) if (n, run) in model_rows]
+        for lang in languages:
+            scores[lang] += sum(model_rows[p][lang] for p in parts) / max(1, len(parts))
+    return {lang: score * min(1.0, language.EVIDENCE / max(1, len(found))) for lang, score in scores.items()}
+
+
+def test_language_equals_plain_model(spark):
+    docs = [(1, "der hund und die katze", "de"), (2, "the dog and the cat", "en"), (3, "le chien et le chat the", "fr"), (4, "los perros", "es")]
+    model = language.fit(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    counts = {}
+    for _, text, lang in docs:
+        for word in text.split():
+            for part in [(0, word), *((n, run) for n in range(1, 6) for run in language.runs(word, n))]:
+                counts.setdefault(part, Counter())[lang] += 1
+    languages = ["de", "en", "es", "fr"]
+    totals = {(kind, lang): sum(c[lang] + 0.5 for (k, _), c in counts.items() if k == kind) for kind in range(6) for lang in languages}
+    logs = {part: {lang: math.log((c[lang] + 0.5) / totals[part[0], lang]) for lang in languages} for part, c in counts.items()}
+    rows = {part: {lang: value - max(by.values()) for lang, value in by.items()} for part, by in logs.items()}
+    for text in ["the hound", "katzen und hunde", "chat", "perro perro los", "xqz", "the " * 50 + "und", "CHIENS, dogs!", "zz\u0436"]:
+        scores = plain_prediction(rows, languages, text)
+        best = max(languages, key=lambda lang: scores[lang])
+        share = 1 / sum(math.exp(s - scores[best]) for s in scores.values())
+        assert model.predict(text) == (best, pytest.approx(share, abs=1e-4)), text
+    tie = language.fit(spark.createDataFrame([(1, "aa", "x"), (2, "aa", "y")], "doc_id bigint, text string, lang string"))
+    assert tie.predict("aa") == ("x", 0.5)
+
+
+def test_language_is_predicted_once(spark, docs):
+    frame = docs.drop("shard").selectExpr("*", "1L as n_chars", "'x' as lang_pred", "2.0 as SCORE")
+    plan = corpus_pipeline.identify_language(spark, frame, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    model = language.fit(docs)
+    found = language.identify(frame, model)
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "score"] and found.count() == docs.count()
+    assert language.identify(frame.limit(0), model).count() == 0
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
