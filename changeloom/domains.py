@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.plans import administration, personnel, sales, views
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, hrm_reduced
-from changeloom.streaming.replicate import EVERY_MINUTE, keyed_tables, replicate_groups
-from changeloom.streaming.totals import GroupTotals, follow, order_summary
+from changeloom.streaming.keyed_state import EVERY_MINUTE, current_tables, follow_groups, set_aside, states
+from changeloom.streaming.state_totals import StateTotals, order_summary
 
 LogSource = Callable[[Registry], DataFrame]
 """Opens the change log of some tables, e.g. ``lambda tables: kafka_log(spark, servers, tables)``."""
@@ -26,63 +26,49 @@ class Domain:
     """The table whose totals are kept per group, if there is one."""
     totals: Mapping[str, str] = field(default_factory=dict)
     """Its ``group``, ``measure`` and ``latest`` columns."""
-    summary: Callable[[GroupTotals], DataFrame] = order_summary
+    summary: Callable[[DataFrame], DataFrame] = order_summary
     summary_name: str = "order_summary"
 
-    def _kept(self, spark: SparkSession, root: str, **options) -> GroupTotals | None:
-        if self.summed is None:
-            return None
-        (table,) = self.summed
-        return GroupTotals.below(spark, root, table, **self.totals, **options)
+    def _kept(self, checkpoint: str, **options) -> StateTotals | None:
+        return None if self.summed is None else StateTotals(self.summed, f"{checkpoint}/summed", **self.totals, **options)
 
     def start(
         self,
-        spark: SparkSession,
         source: LogSource,
-        root: str,
         checkpoint: str,
         *,
         group_size: int = 5,
+        complete: bool = False,
         trigger: Mapping[str, object] = EVERY_MINUTE,
         on_bad: str = "raise",
         dead_letters: str | None = None,
         **options,
     ) -> list[StreamingQuery]:
-        """Start one query per group of copied tables and one for the totals. ``options`` go to the keyed tables."""
-        queries = replicate_groups(
-            source,
-            self.copied,
-            keyed_tables(spark, root, self.copied, **options),
-            f"{checkpoint}/copies",
-            group_size=group_size,
-            trigger=trigger,
-            on_bad=on_bad,
-            dead_letters=dead_letters,
-        )
-        kept = self._kept(spark, root, **options)
+        """Start one query per group of copied tables, and those of the totals (see ``StateTotals.follow``; ``options`` go there).
+
+        The tables are the state of these queries, below ``checkpoint``. With ``on_bad="skip"`` unreadable messages are kept in ``dead_letters``.
+        """
+        if (on_bad == "skip") != (dead_letters is not None):
+            raise ValueError("dead_letters is where on_bad='skip' keeps unreadable messages; give both or neither")
+        _, queries = follow_groups(source, self.copied, f"{checkpoint}/copied", group_size=group_size, trigger=trigger, on_bad=on_bad)
+        kept = self._kept(checkpoint, **options)
         if kept is not None:
-            queries.append(
-                follow(
-                    source(self.summed),
-                    kept,
-                    f"{checkpoint}/totals",
-                    trigger=trigger,
-                    on_bad=on_bad,
-                    dead_letters=dead_letters,
-                    topic=self.summed.topic(kept.table),
-                )
-            )
+            queries += kept.follow(source(self.summed), complete=complete, trigger=trigger, on_bad=on_bad)
+        if dead_letters is not None:
+            for name, registry in (("copied", self.copied), ("summed", self.summed)):
+                if registry is not None:
+                    queries.append(set_aside(source(registry), registry, f"{dead_letters}/{name}", f"{checkpoint}/bad_{name}", trigger=trigger))
         return queries
 
-    def tables(self, spark: SparkSession, root: str, **options) -> dict[str, DataFrame]:
-        """The present rows of every table; tables that nothing has been written to are empty."""
-        found = {name: t.current() for name, t in keyed_tables(spark, root, self.copied, **options).items()}
-        kept = self._kept(spark, root, **options)
-        return found if kept is None else found | {self.summary_name: self.summary(kept)}
+    def tables(self, spark: SparkSession, checkpoint: str, group_size: int = 5) -> dict[str, DataFrame]:
+        """The present rows of every table; tables that nothing has arrived for are empty."""
+        found = current_tables(spark, states(self.copied, f"{checkpoint}/copied", group_size))
+        kept = self._kept(checkpoint)
+        return found if kept is None else found | {self.summary_name: self.summary(kept.current(spark))}
 
-    def publish(self, spark: SparkSession, root: str, prefix: str = "", **options) -> list[str]:
+    def publish(self, spark: SparkSession, checkpoint: str, prefix: str = "", group_size: int = 5) -> list[str]:
         """Make tables and views available to ``spark.sql`` as of now; call it again for newer rows."""
-        return views.rebuild(spark, self.views, self.tables(spark, root, **options), prefix)
+        return views.rebuild(spark, self.views, self.tables(spark, checkpoint, group_size), prefix)
 
 
 PERSONNEL = Domain(HRM, personnel.VIEWS)

@@ -25,13 +25,6 @@ def latest_per_key(changes: DataFrame, key: Sequence[str], row: StructType) -> D
     )
 
 
-def merge_latest(versions: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The version with the highest ``_seq`` of every key, for rows that already have the state form."""
-    rest = [c for c in versions.columns if c not in key and c != SEQ]
-    last = versions.groupBy(*key).agg(F.max_by(F.struct(*rest), SEQ).alias("last"), F.max(SEQ).alias(SEQ))
-    return last.selectExpr(*[f"last.`{c}` AS `{c}`" if c in rest else f"`{c}`" for c in versions.columns])
-
-
 def live(state: DataFrame, row: StructType) -> DataFrame:
     """The rows that exist, without bookkeeping columns."""
     return state.where(f"{OP} <> 'd'").select(*row.fieldNames())
@@ -46,7 +39,7 @@ def weighted(changes: DataFrame, row: StructType) -> DataFrame:
     """Every change as up to two weighted rows: -1 for the image it replaces, +1 for the one it brings.
 
     Sums and counts over the weights follow updates and deletes. Needs complete ``before`` images; where a source
-    does not send them, take the old images from a keyed table instead (``changeloom.streaming.totals``).
+    does not send them, let a stream's state supply them (``changeloom.streaming.state_totals``).
     """
     old, new = "struct(-1L AS weight, before AS row)", "struct(1L AS weight, after AS row)"
     images = f"CASE op WHEN 'u' THEN array({old}, {new}) WHEN 'd' THEN array({old}) ELSE array({new}) END"

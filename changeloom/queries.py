@@ -40,10 +40,9 @@ from changeloom.sources.changelog import (
 )
 from changeloom.sources import snapshot as snapshots
 from changeloom.sources.tables import scan
-from changeloom.streaming import state_totals, totals as group_totals
+from changeloom.streaming import state_totals
 from changeloom.streaming.fan_out import FanOut
-from changeloom.streaming.keyed_state import KeyedState
-from changeloom.streaming.replicate import keyed_tables, replicate, replicate_groups
+from changeloom.streaming.keyed_state import KeyedState, current_tables, follow_groups
 
 NOW = {"availableNow": True}
 CHECKSUM = (1 << 61) - 1
@@ -101,10 +100,11 @@ def _stream(s: Source, log: DataFrame) -> Callable[[], DataFrame]:
     return lambda: file_log(s.spark, path, format="parquet", max_files=half)
 
 
-def _targets(s: Source, registry: Registry):
-    return keyed_tables(
-        s.spark, work_path(s.spark, "tables"), registry, buckets=s.spark.sparkContext.defaultParallelism
-    )
+def _kept(s: Source, registry: Registry, log: DataFrame) -> KeyedState:
+    """All tables of a log, by one query that has come to its end."""
+    kept = KeyedState(registry, work_path(s.spark, "checkpoint"))
+    kept.follow(_stream(s, log)(), trigger=NOW).awaitTermination()
+    return kept
 
 
 def cdc_unwrap(s: Source) -> DataFrame:
@@ -166,10 +166,10 @@ def cdc_weighted_totals(s: Source) -> DataFrame:
 
 
 def stream_replicate(s: Source) -> DataFrame:
-    log = _stream(s, s.event_log())
-    targets = _targets(s, USERS)
-    replicate(log(), USERS, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    return targets["user_state"].current()
+    """The last event of every user, each batch written once for all targets."""
+    kept = FanOut(USERS, work_path(s.spark, "targets"))
+    kept.follow(_stream(s, s.event_log())(), work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
+    return kept.current(s.spark, "user_state")
 
 
 def _hrm_log(s: Source, registry: Registry) -> DataFrame:
@@ -185,8 +185,7 @@ def _hrm_log(s: Source, registry: Registry) -> DataFrame:
 
 def stream_recreated_topic(s: Source) -> DataFrame:
     """Orders of a topic that is created again, with all but low priorities at one more: it starts at offset 0 and still wins."""
-    table, registry = CRM["orders"], CRM.select("orders")
-    targets = _targets(s, registry)
+    table, kept = CRM["orders"], KeyedState(CRM.select("orders"), work_path(s.spark, "checkpoint"))
     rows = s.read("orders").where("o_orderpriority NOT LIKE '5%'").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("cus_id"),
@@ -194,17 +193,17 @@ def stream_recreated_topic(s: Source) -> DataFrame:
         millis("o_orderdate").alias("order_at"),
     )
     again = snapshot_log(s.spread(rows), table, CRM.topic(table)).withColumn("offset", F.lit(0).cast("bigint"))
-    for generation, log in enumerate([s.order_log(CRM), again]):
-        stream = in_generation(_stream(s, log)(), generation)
-        replicate(stream, registry, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    return targets["orders"].current()
+    path, half = _store_log(s, s.order_log(CRM))
+    for generation in range(2):
+        if generation:
+            again.write.mode("append").parquet(path)
+        log = in_generation(file_log(s.spark, path, format="parquet", max_files=half), generation)
+        kept.follow(log, trigger=NOW).awaitTermination()
+    return kept.current(s.spark, "orders")
 
 
 def _group_tables(s: Source) -> dict[str, DataFrame]:
-    log = _stream(s, _hrm_log(s, HRM))
-    targets = _targets(s, HRM)
-    replicate(log(), HRM, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    return {name: target.current() for name, target in targets.items()}
+    return current_tables(s.spark, [_kept(s, HRM, _hrm_log(s, HRM))])
 
 
 def stream_replicate_group(s: Source) -> DataFrame:
@@ -231,15 +230,14 @@ def stream_replicate_each(s: Source) -> DataFrame:
     """The reduced personnel tables, one query per table."""
     registry = hrm_reduced().select("employees", "attendance", "payroll")
     log = _stream(s, _hrm_log(s, registry))
-    targets = _targets(s, registry)
 
     def own(group: Registry) -> DataFrame:
         return log().where(F.col("topic").isin([group.topic(t) for t in group]))
 
-    running = replicate_groups(own, registry, targets, work_path(s.spark, "checkpoint"), group_size=1, trigger=NOW)
+    kept, running = follow_groups(own, registry, work_path(s.spark, "checkpoint"), group_size=1, trigger=NOW)
     for query in running:
         query.awaitTermination()
-    tables = {name: target.current() for name, target in targets.items()}
+    tables = current_tables(s.spark, kept)
     late = personnel.late_ranking_by_flag(tables["attendance"], tables["employees"])
     income = personnel.payroll_average_income(tables["payroll"], tables["employees"])
     return late.join(income, "department")
@@ -247,32 +245,17 @@ def stream_replicate_each(s: Source) -> DataFrame:
 
 def stream_attendance(s: Source) -> DataFrame:
     registry = HRM.select("attendance")
-    log = _stream(s, _hrm_log(s, registry))
-    targets = _targets(s, registry)
-    replicate(log(), registry, targets, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    return targets["attendance"].current()
+    return _kept(s, registry, _hrm_log(s, registry)).current(s.spark, "attendance")
 
 
 def stream_order_summary(s: Source) -> DataFrame:
-    log = _stream(s, s.order_log(CRM))
-    kept = group_totals.GroupTotals.below(
-        s.spark,
-        work_path(s.spark, "totals"),
-        CRM["orders"],
-        "cus_id",
-        "amount",
-        "order_at",
-        buckets=s.spark.sparkContext.defaultParallelism,
-    )
-    group_totals.follow(log(), kept, work_path(s.spark, "checkpoint"), trigger=NOW).awaitTermination()
-    return group_totals.order_summary(kept, VIP, HIGH)
+    """Totals per customer from a log without some old images, which the stream's state then supplies."""
+    return _state_totals(s, False)
 
 
 def stream_keyed_state(s: Source) -> DataFrame:
     """The last event of every user, kept in the state of a stream and read back from there."""
-    kept = KeyedState(USERS, work_path(s.spark, "checkpoint"))
-    kept.follow(_stream(s, s.event_log())(), trigger=NOW).awaitTermination()
-    return kept.current(s.spark, "user_state")
+    return _kept(s, USERS, s.event_log()).current(s.spark, "user_state")
 
 
 def _state_totals(s: Source, complete: bool) -> DataFrame:
@@ -287,26 +270,20 @@ def stream_totals_state(s: Source) -> DataFrame:
     return _state_totals(s, True)
 
 
-def stream_totals_images(s: Source) -> DataFrame:
-    """The same from a log without some old images, which the stream's state then supplies."""
-    return _state_totals(s, False)
-
-
 def domain_sales(s: Source) -> DataFrame:
     """The sales domain from its change logs to its published views."""
-    domain = replace(domains.SALES, summary=partial(group_totals.order_summary, vip=VIP, high=HIGH))
+    domain = replace(domains.SALES, summary=partial(state_totals.order_summary, vip=VIP, high=HIGH))
     rows = {"customers": s.customers, "products": s.products, "order_items": s.order_items}
     logs = [snapshot_log(s.spread(rows[t.name]()), t, CRM.topic(t)) for t in domain.copied]
     log = _stream(s, reduce(DataFrame.unionByName, [*logs, s.order_log(CRM)]))
-    root, buckets = work_path(s.spark, "domain"), s.spark.sparkContext.defaultParallelism
+    checkpoint = work_path(s.spark, "checkpoint")
 
     def source(tables: Registry) -> DataFrame:
         return log().where(F.col("topic").isin([tables.topic(t) for t in tables]))
 
-    running = domain.start(s.spark, source, root, work_path(s.spark, "checkpoint"), trigger=NOW, buckets=buckets)
-    for query in running:
+    for query in domain.start(source, checkpoint, trigger=NOW, buckets=64):
         query.awaitTermination()
-    domain.publish(s.spark, root, "live_", buckets=buckets)
+    domain.publish(s.spark, checkpoint, "live_")
     return s.spark.sql(
         "SELECT r.region, r.customer_count, r.total_revenue, r.total_orders, count(*) AS high_value "
         "FROM live_regional_summary r JOIN live_customer_rfm f ON r.region = f.region "
@@ -639,7 +616,6 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "stream_order_summary": stream_order_summary,
         "stream_keyed_state": stream_keyed_state,
         "stream_totals_state": stream_totals_state,
-        "stream_totals_images": stream_totals_images,
         "domain_sales": domain_sales,
         "registry_replicate": registry_replicate,
         "registry_admin": registry_admin,

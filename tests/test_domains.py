@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 import seeds
 from pyspark.sql import functions as F
 
 from changeloom import domains
 from changeloom.registry import ADMIN, ADMIN_COLUMNS, Table
-from changeloom.sources.changelog import file_log, snapshot_log
+from changeloom.sources.changelog import RAW_LOG, file_log, snapshot_log
 
 NOW = {"availableNow": True}
 
@@ -22,10 +23,9 @@ def run(spark, folder, domain, rows, prefix, **options):
     def source(tables):
         return file_log(spark, folder + "/log").where(F.col("topic").isin([tables.topic(t) for t in tables]))
 
-    queries = domain.start(spark, source, folder + "/tables", folder + "/checkpoints", trigger=NOW, buckets=4, **options)
-    for query in queries:
+    for query in domain.start(source, folder + "/checkpoints", trigger=NOW, **options):
         query.awaitTermination()
-    return domain.publish(spark, folder + "/tables", prefix, buckets=4)
+    return domain.publish(spark, folder + "/checkpoints", prefix, options.get("group_size", 5))
 
 
 def test_sales(spark, folder):
@@ -66,5 +66,22 @@ def test_administration(spark, folder):
 
 
 def test_nothing_arrived_yet(spark, folder):
-    names = domains.PERSONNEL.publish(spark, folder, "dom_n_", buckets=4)
+    names = domains.PERSONNEL.publish(spark, folder, "dom_n_")
     assert all(spark.table(name).count() == 0 for name in names)
+
+
+def test_unreadable_messages_are_set_aside(spark, folder):
+    demo = domains.DEMONSTRATION
+    (table,) = demo.copied
+    log = [(demo.copied.topic(table), 0, 0, '{"op": "c", "after": {"id": 1, "name": "a", "salary": 2.5}}'), (demo.copied.topic(table), 0, 1, "garbage")]
+    spark.createDataFrame(log, RAW_LOG).write.json(folder + "/log")
+
+    def source(tables):
+        return file_log(spark, folder + "/log")
+
+    with pytest.raises(ValueError):
+        demo.start(source, folder + "/c", on_bad="skip")
+    for query in demo.start(source, folder + "/c", trigger=NOW, on_bad="skip", dead_letters=folder + "/dead"):
+        query.awaitTermination()
+    assert [tuple(r) for r in demo.tables(spark, folder + "/c")["employees"].collect()] == [(1, "a", 2.5)]
+    assert [r.value for r in spark.read.parquet(folder + "/dead/copied").collect()] == ["garbage"]

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
 
 from changeloom.adapters import Source
-from changeloom.operators.keyed_table import KeyedTable
 from changeloom.plans import personnel
 from changeloom.queries import queries
 
@@ -60,17 +58,3 @@ def test_row_level_functions_do_not_shuffle(spark):
 def test_top_k_does_not_sort_everything(spark):
     text = plan(queries()["top_products_5"](spark, FOLDER))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
-
-
-def test_base_of_a_keyed_table_is_not_shuffled(spark, folder, no_broadcast):
-    row = StructType().add("k", LongType()).add("v", StringType()).add("n", LongType())
-    t = KeyedTable(spark, folder, ["k"], row, buckets=8)
-    frame = spark.range(100).selectExpr("id AS k", "'x' AS v", "id AS n", "'u' AS _op", "id AS _seq")
-    t.put(frame, "w", 0)
-    t.compact(force=True)
-    t.put(frame.limit(5), "w", 1)
-    text = plan(t.current().select("k", "n"), "simple")
-    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
-    assert "ShuffledHashJoin" in text
-    looked = plan(t.lookup(frame.where("k < 3").select("k")), "formatted")
-    assert "Bucketed: true" in looked

@@ -1,22 +1,12 @@
-"""Streaming jobs over file logs, and totals that follow updates and deletes."""
+"""Logs and checks that the streaming tests share, and the statement for lake tables."""
 
 from __future__ import annotations
 
 import json
 import random
 
-import pytest
-import seeds
-from pyspark.sql import functions as F
-
-from changeloom.plans import personnel, sales, transforms, views
-from changeloom.registry import CRM, HRM, ORDERS
-from changeloom.sources.changelog import RAW_LOG, file_log, snapshot_log
+from changeloom.sources.changelog import RAW_LOG
 from changeloom.streaming.merge import merge_statement
-from changeloom.streaming.replicate import keyed_tables, replicate, replicate_groups
-from changeloom.streaming.totals import GroupTotals, follow, order_summary
-
-NOW = {"availableNow": True}
 
 
 def rows(frame):
@@ -35,97 +25,6 @@ def order(op, before=None, after=None):
     return json.dumps({"op": op, "ts_ms": 0, "before": image(before), "after": image(after)})
 
 
-def test_one_query_many_tables(spark, folder):
-    tables = seeds.personnel(spark)
-    log = None
-    for t in HRM:
-        part = snapshot_log(tables[t.name], t, HRM.topic(t))
-        log = part if log is None else log.unionByName(part)
-    log.repartition(4).write.json(folder + "/log", ignoreNullFields=False)
-    targets = keyed_tables(spark, folder + "/tables", HRM, buckets=4, compact_from=0)
-    query = replicate(
-        file_log(spark, folder + "/log", max_files=2), HRM, targets, folder + "/checkpoint", trigger=NOW
-    )
-    query.awaitTermination()
-    arrived = {name: t.current() for name, t in targets.items()}
-    assert rows(arrived["attendance"]) == rows(transforms.attendance_analytics(tables["attendance"]))
-    assert rows(arrived["payroll"]) == rows(transforms.payroll_progressive(tables["payroll"]))
-    stats = views.build(personnel.VIEWS, arrived)["department_stats"]
-    assert ("Engineering", 5, 25, 8.80, 5, 15, 5) in rows(stats)
-
-
-def test_restart_continues_and_replay_changes_nothing(spark, folder):
-    topic, registry = CRM.topic("orders"), CRM.select("orders")
-    targets = keyed_tables(spark, folder + "/tables", registry, buckets=4)
-
-    def run(checkpoint):
-        log = file_log(spark, folder + "/log")
-        replicate(log, registry, targets, f"{folder}/{checkpoint}", trigger=NOW).awaitTermination()
-        return rows(targets["orders"].current())
-
-    write_log(spark, folder, [(topic, 0, order("c", None, (1, 1, 10, 5))), (topic, 1, order("c", None, (2, 1, 5, 6)))], "log")
-    assert run("checkpoint") == {(1, 1, 10, 5), (2, 1, 5, 6)}
-    write_log(spark, folder, [(topic, 2, order("u", None, (1, 2, 11, 7))), (topic, 3, order("d", (2, 1, 5, 6))), (topic, 4, None)], "log")
-    assert run("checkpoint") == {(1, 2, 11, 7)}
-    assert run("new-checkpoint") == {(1, 2, 11, 7)}
-
-
-def test_bad_messages_stop_the_query_or_are_set_aside(spark, folder):
-    topic, registry = CRM.topic("orders"), CRM.select("orders")
-    write_log(spark, folder, [(topic, 0, order("c", None, (1, 1, 10, 5))), (topic, 1, "garbage")], "log")
-    targets = keyed_tables(spark, folder + "/tables", registry, buckets=4)
-    with pytest.raises(Exception, match="unreadable change"):
-        replicate(file_log(spark, folder + "/log"), registry, targets, folder + "/c1", trigger=NOW).awaitTermination()
-    assert rows(targets["orders"].current()) == set()
-    replicate(
-        file_log(spark, folder + "/log"),
-        registry,
-        targets,
-        folder + "/c2",
-        trigger=NOW,
-        on_bad="skip",
-        dead_letters=folder + "/dead",
-    ).awaitTermination()
-    assert rows(targets["orders"].current()) == {(1, 1, 10, 5)}
-    dead = spark.read.option("recursiveFileLookup", True).parquet(folder + "/dead")
-    assert [(r.offset, r.value) for r in dead.collect()] == [(1, "garbage")]
-    with pytest.raises(ValueError):
-        replicate(None, registry, targets, folder, on_bad="skip")
-
-
-def test_groups_have_their_own_queries(spark, folder):
-    tables, registry = seeds.sales(spark), CRM.select("customers", "products", "order_items")
-    for t in registry:
-        snapshot_log(tables[t.name], t, CRM.topic(t)).write.mode("append").json(folder + "/log")
-    targets = keyed_tables(spark, folder + "/tables", registry, buckets=4)
-
-    def source(group):
-        return file_log(spark, folder + "/log").where(F.col("topic").isin([group.topic(t) for t in group]))
-
-    queries = replicate_groups(source, registry, targets, folder + "/checkpoints", group_size=2, trigger=NOW)
-    assert len(queries) == 2
-    for query in queries:
-        query.awaitTermination()
-    assert {name: t.current().count() for name, t in targets.items()} == {"customers": 15, "products": 15, "order_items": 37}
-
-
-def test_row_that_stops_qualifying_leaves_the_target(spark, folder):
-    registry = HRM.select("leave_requests")
-    topic = registry.topic("leave_requests")
-    full = {"id": 1, "emp_id": 1, "leave_type": "sick", "start_date": 0, "end_date": 0, "days": 1, "status": "x", "reason": ""}
-    messages = [(topic, 0, json.dumps({"op": "c", "after": full})), (topic, 1, json.dumps({"op": "u", "after": full | {"emp_id": None}}))]
-    targets = keyed_tables(spark, folder + "/tables", registry, buckets=4)
-    write_log(spark, folder, messages[:1], "log")
-    replicate(file_log(spark, folder + "/log"), registry, targets, folder + "/c", trigger=NOW).awaitTermination()
-    assert targets["leave_requests"].current().count() == 1
-    write_log(spark, folder, messages[1:], "log")
-    replicate(file_log(spark, folder + "/log"), registry, targets, folder + "/c", trigger=NOW).awaitTermination()
-    assert targets["leave_requests"].current().count() == 0
-
-
-# Totals
-
-
 def random_orders(seed, size):
     """A log of creates, updates, moves between customers and deletes, half of the old images missing."""
     rng, live, log = random.Random(seed), {}, []
@@ -152,78 +51,6 @@ def direct(live):
     return {(c, sum(a for a, _ in v), len(v), max(at for _, at in v)) for c, v in sums.items()}
 
 
-def totals(spark, folder, **options):
-    return GroupTotals.below(spark, folder, ORDERS, "cus_id", "amount", "order_at", buckets=4, **options)
-
-
-def frame(spark, log):
-    return spark.createDataFrame([("t", 0, offset, value) for offset, value in log], RAW_LOG)
-
-
-@pytest.mark.parametrize("seed, parts", [(1, 2), (2, 4)])
-def test_totals_follow_a_random_log(spark, folder, seed, parts):
-    log, live = random_orders(seed, 240)
-    kept = totals(spark, folder, compact_from=0)
-    step = len(log) // parts
-    for number in range(parts):
-        for _ in range(2):
-            kept.apply(frame(spark, log[number * step : (number + 1) * step]), "w", number)
-    assert rows(kept.current()) == direct(live)
-    kept.apply(frame(spark, log), "replay", 0)
-    assert rows(kept.current()) == direct(live)
-    kept.rebuild("rebuild")
-    assert rows(kept.current()) == direct(live)
-
-
-def test_totals_step_by_step(spark, folder):
-    kept = totals(spark, folder)
-    steps = [
-        ([order("c", None, (1, 7, 10, 100)), order("c", None, (2, 7, 5, 200))], {(7, 15, 2, 200)}),
-        ([order("u", None, (2, 8, 6, 150))], {(7, 10, 1, 100), (8, 6, 1, 150)}),
-        ([order("d", (1, 7, 10, 100))], {(8, 6, 1, 150)}),
-        ([order("c", None, (1, 7, 1, 50))], {(7, 1, 1, 50), (8, 6, 1, 150)}),
-        ([order("u", None, (2, 8, None, 150))], {(7, 1, 1, 50)}),
-    ]
-    offset = 0
-    for number, (messages, expected) in enumerate(steps):
-        log = [(offset + n, m) for n, m in enumerate(messages)]
-        offset += len(messages)
-        kept.apply(frame(spark, log), "w", number)
-        assert rows(kept.current()) == expected, number
-
-
-def test_totals_from_a_stream(spark, folder):
-    tables = seeds.sales(spark)
-    topic = CRM.topic("orders")
-    snapshot_log(tables["orders"], ORDERS, topic).write.json(folder + "/log")
-    kept = totals(spark, folder + "/state")
-    follow(file_log(spark, folder + "/log"), kept, folder + "/c", trigger=NOW).awaitTermination()
-    assert rows(order_summary(kept)) == rows(sales.order_summary(tables["orders"]))
-    write_log(spark, folder, [(topic, 5, order("d", (24, 15, 250000, 0))), (topic, 6, order("u", None, (1, 1, 1, 9)))], "log")
-    follow(file_log(spark, folder + "/log"), kept, folder + "/c", trigger=NOW).awaitTermination()
-    got = {r.cus_id: (r.total_amount, r.status) for r in order_summary(kept).collect()}
-    assert 15 not in got and got[1] == (9390001, "NORMAL")
-
-
-def test_totals_set_bad_messages_aside(spark, folder):
-    topic = CRM.topic("orders")
-    write_log(spark, folder, [(topic, 0, order("c", None, (1, 7, 10, 5))), (topic, 1, "garbage")], "log")
-    kept = totals(spark, folder + "/state")
-    follow(
-        file_log(spark, folder + "/log"),
-        kept,
-        folder + "/c",
-        trigger=NOW,
-        on_bad="skip",
-        dead_letters=folder + "/dead",
-    ).awaitTermination()
-    assert rows(kept.current()) == {(7, 10, 1, 5)}
-    dead = spark.read.option("recursiveFileLookup", True).parquet(folder + "/dead")
-    assert [r.value for r in dead.collect()] == ["garbage"]
-    with pytest.raises(ValueError):
-        follow(None, kept, folder, on_bad="skip")
-
-
 def test_merge_statement_is_valid_sql(spark):
     text = merge_statement("lake.orders", "batch", ["id"], ["id", "cus_id", "month"])
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
