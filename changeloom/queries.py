@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
@@ -22,9 +23,10 @@ from changeloom.adapters import (
     micros,
     millis,
 )
+from changeloom.operators import deltas, distinct, generations
 from changeloom.operators.changes import current_rows, weighted, weighted_count, weighted_sum
 from changeloom.operators.upsert import append, reload, upsert, upsert_any
-from changeloom.plans import administration as adm, personnel, sales, transforms, views
+from changeloom.plans import administration as adm, incremental, personnel, sales, transforms, views
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, Table, hrm_reduced, with_times
 from changeloom.session import work_path
 from changeloom.sources.changelog import (
@@ -142,7 +144,7 @@ def cdc_chunked_snapshot(s: Source) -> DataFrame:
     table = CRM["orders"]
     end = s.read("orders").agg(F.max("o_orderkey") * 4 + 3).head()[0] or 0
     step = end // (CHUNKS + 4)
-    marks = s.spark.createDataFrame([(c, (c + 3) * step, (c + 5) * step) for c in range(CHUNKS)], "chunk bigint, low bigint, high bigint")
+    marks = s.spark.range(CHUNKS).selectExpr("id AS chunk", f"(id + 3) * {step} AS low", f"(id + 5) * {step} AS high")
     decoded = changes(s.order_log(CRM), table)
     chunk = F.pmod("id", F.lit(CHUNKS))
     moment = (chunk + 4) * step
@@ -543,6 +545,73 @@ def rebuilt_views(s: Source) -> DataFrame:
     )
 
 
+# Views kept up to date
+
+
+def view_regional_delta(s: Source) -> DataFrame:
+    """Revenue by region, kept through the changes of orders and customers in two batches; no table is summed again.
+
+    It begins with the orders as they were made. Their log then moves and deletes some, and customers of the last two segments move to the next
+    region; the orders' totals per customer and the regions' totals follow by what changed.
+    """
+    table = CRM["orders"]
+    log = _written(s, weighted(changes(s.order_log(CRM, complete=True).where(F.col("offset") % 4 != 0), table), table.row_type), "log")
+    summary = _written(s, incremental.summary_of(s.orders()), "summary")
+    moved = _written(s, _moved_customers(s), "moved")
+    customers = _written(s, s.customers().select("cus_id", "region"), "customers")
+    regions = _written(s, incremental.regions_of(customers, summary), "regions")
+    keep = lambda frame: _written(s, frame, "sums")
+    for half in range(2):
+        orders = log.where(F.pmod("id", F.lit(2)) == half)
+        d_customers = moved.where(F.pmod("cus_id", F.lit(2)) == half)
+        d_summary = _written(s, incremental.summary_delta(summary, orders, keep), "changes")
+        d_regions = incremental.regions_delta(regions, customers, d_customers, summary, d_summary, keep)
+        summary, customers, regions = (
+            _written(s, deltas.applied(rows, signed, key), name)
+            for rows, signed, key, name in ((summary, d_summary, ["cus_id"], "summary"), (customers, d_customers, ["cus_id"], "customers"), (regions, d_regions, ["region"], "regions"))
+        )
+    return regions.withColumnRenamed(deltas.ROWS, "customer_count")
+
+
+def _moved_customers(s: Source) -> DataFrame:
+    """Signed rows of the customers that move: out of their region, into the next one in order."""
+    names = [r["r_name"] for r in s.read("region").orderBy("r_regionkey").collect()]
+    following = F.create_map(*[F.lit(n) for pair in zip(names, [*names[1:], names[0]], strict=True) for n in pair])
+    moving = s.customers().where(F.col("segment").isin("BUILDING", "MACHINERY"))
+    images = F.array(F.struct(F.lit(-1).cast("bigint").alias("weight"), F.col("region").alias("region")), F.struct(F.lit(1).cast("bigint").alias("weight"), following[F.col("region")].alias("region")))
+    return moving.select("cus_id", F.explode(images).alias("i")).select("cus_id", "i.region", "i.weight")
+
+
+def _written(s: Source, frame: DataFrame, name: str) -> DataFrame:
+    path = work_path(s.spark, name)
+    frame.write.parquet(path)
+    return s.spark.read.schema(frame.schema).parquet(path)
+
+
+def category_orders_merged(s: Source) -> DataFrame:
+    """Orders per category out of bitmaps that were stored by category and year of shipping, the facts not being read again."""
+    rows = s.read("lineitem").select("l_orderkey", "l_partkey", F.year("l_shipdate").alias("year"))
+    placed = rows.join(s.products().select("product_id", "category"), F.col("l_partkey") == F.col("product_id"))
+    stored = _written(s, distinct.parts(placed, ["category", "year"], "l_orderkey"), "bitmaps")
+    return distinct.counts(stored, ["category"], "order_count")
+
+
+def reload_generations(s: Source) -> DataFrame:
+    """A catalogue table replaced twice, the second time out of itself, with a reload in between that fails half way."""
+    table, root = f"reloaded_{uuid.uuid4().hex[:12]}", work_path(s.spark, "generations")
+    days = F.col("days")
+    generations.reload(s.leave_requests().withColumn("days", days + 1), table, root)
+    broken = s.leave_requests().withColumn("days", F.when(F.col("id") % 7 == 0, F.raise_error(F.lit("lost")).cast("int")).otherwise(days))
+    try:
+        generations.reload(broken, table, root)
+    except Exception as error:  # noqa: BLE001
+        if "lost" not in str(error):
+            raise
+    generations.reload(s.spark.table(table).withColumn("days", days - 1), table, root)
+    generations.forget(s.spark, table, root)
+    return s.spark.table(table)
+
+
 def top_products_5(s: Source) -> DataFrame:
     view = next(v for v in sales.VIEWS if v.name == "top_products")
     return views.report(sales.top_products(s.order_items(), s.products()), view, limit=5)
@@ -630,6 +699,9 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "copy_customers": copy(CRM, "customers", "customers"),
         "copy_product_catalog": copy(CRM, "products", "products"),
         "copy_order_items": copy(CRM, "order_items", "order_items"),
+        "view_regional_delta": view_regional_delta,
+        "category_orders_merged": category_orders_merged,
+        "reload_generations": reload_generations,
         "upsert_subset": upsert_subset,
         "upsert_unique_key": upsert_unique_key,
         "upsert_two_keys": upsert_two_keys,
