@@ -40,7 +40,7 @@ from changeloom.sources.changelog import (
     variant_field,
     versioned_log,
 )
-from changeloom.sources import snapshot as snapshots
+from changeloom.sources import ddl, snapshot as snapshots
 from changeloom.sources.tables import scan
 from changeloom.streaming import state_totals
 from changeloom.streaming.fan_out import FanOut
@@ -362,6 +362,32 @@ def stream_fan_out(s: Source) -> DataFrame:
     return _reports(s, registry, lambda table: kept.current(s.spark, table))
 
 
+SOURCE_TYPES = {"bigint": "BIGINT NOT NULL", "int": "INT DEFAULT '0'", "double": "DOUBLE", "timestamp_ntz": "DATETIME(6)", "timestamp": "DATETIME(6)", "string": "VARCHAR(255) COMMENT 'a, (b)'"}
+
+
+def own_ddl(s: Source) -> DataFrame:
+    """The statements that would make the given tables in a database, a row for each."""
+    keys = {t.name: t.key for t in generic_registry(s)}
+    texts = []
+    for name, key in keys.items():
+        columns = [f"  `{f.name}` {SOURCE_TYPES.get(f.dataType.simpleString(), 'JSON')}" for f in s.read(name).schema.fields]
+        texts.append(f"-- {name}\nCREATE TABLE IF NOT EXISTS `shop`.`{name}` (\n" + ",\n".join([*columns, f"  PRIMARY KEY ({', '.join(key)})"]) + "\n) ENGINE=x;")
+    return s.spark.createDataFrame([(text,) for text in texts], "ddl string")
+
+
+def registry_from_ddl(s: Source) -> DataFrame:
+    """Columns of the tables that their own DDL declares, and how many values each has in the rows that are captured by it."""
+    texts = own_ddl(s)
+    registry = ddl.registry(texts, "shop", "shop")
+    counts = []
+    for table in registry:
+        rows = captured(s.read(table.name)).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in table.row_type.fields])
+        filled = rows.agg(*[F.count(f"`{f.name}`").alias(f.name) for f in table.row_type.fields])
+        counts.append(filled.unpivot([], filled.columns, "column_name", "filled").withColumn("table_name", F.lit(table.name)))
+    columns = ddl.types_of(ddl.columns_of(texts)).withColumn("is_key", F.col("key_position").isNotNull()).drop("column_type", "key_position")
+    return columns.join(reduce(DataFrame.unionByName, counts), ["table_name", "column_name"])
+
+
 def generic_admin() -> Registry:
     """All administration tables with the generic columns: their key, a name and a time."""
 
@@ -689,6 +715,7 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "registry_replicate": registry_replicate,
         "registry_admin": registry_admin,
         "registry_admin_all": registry_admin_all,
+        "registry_from_ddl": registry_from_ddl,
         "stream_fan_out": stream_fan_out,
         "generic_projection": generic_projection,
         "time_columns": time_columns,
