@@ -23,8 +23,9 @@ from changeloom.adapters import (
     micros,
     millis,
 )
-from changeloom.operators import deltas, distinct, generations
+from changeloom.operators import deltas, distinct, generations, skipping
 from changeloom.operators.changes import current_rows, weighted, weighted_count, weighted_sum
+from changeloom.operators.colocated import Colocated
 from changeloom.operators.upsert import append, reload, upsert, upsert_any
 from changeloom.plans import administration as adm, incremental, personnel, sales, transforms, views
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, Table, hrm_reduced, with_times
@@ -622,6 +623,34 @@ def category_orders_merged(s: Source) -> DataFrame:
     return distinct.counts(stored, ["category"], "order_count")
 
 
+def _saved(s: Source, facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    saved = Colocated(f"saved_{uuid.uuid4().hex[:12]}", work_path(s.spark, "colocated"), key, s.spark.sparkContext.defaultParallelism)
+    saved.save(facts, dimension)
+    return saved.joined(s.spark)
+
+
+def attendance_summary_saved(s: Source) -> DataFrame:
+    """Attendance with its employees out of saved targets that are bucketed by employee."""
+    joined = _saved(s, _attendance(s), s.employees(), "emp_id")
+    return joined.where("name <> ''").select("emp_id", "name", "department", "status", "work_hours", "check_in", "check_out")
+
+
+def category_revenue_saved(s: Source) -> DataFrame:
+    """Revenue per category out of saved targets that are bucketed by product."""
+    joined = _saved(s, s.order_items(), s.products().select("product_id", "category"), "product_id")
+    value = F.col("quantity") * F.col("unit_price")
+    return joined.groupBy("category").agg(F.countDistinct("order_id").alias("order_count"), F.sum(value).alias("total_revenue"), F.sum("quantity").alias("total_qty"))
+
+
+def lookup_ranges(s: Source) -> DataFrame:
+    """The orders that the dearest line items belong to, looked up by key in a target written in ranges."""
+    path = work_path(s.spark, "ranges")
+    rows = s.orders()
+    skipping.write(rows, path, "id", 64)
+    wanted = _written(s, s.read("lineitem").where("l_discount >= 0.1 AND l_quantity >= 49").select(F.col("l_orderkey").alias("id")), "wanted")
+    return skipping.lookup(s.spark, path, wanted, "id", rows.schema)
+
+
 def reload_generations(s: Source) -> DataFrame:
     """A catalogue table replaced twice, the second time out of itself, with a reload in between that fails half way."""
     table, root = f"reloaded_{uuid.uuid4().hex[:12]}", work_path(s.spark, "generations")
@@ -729,6 +758,9 @@ def _frames() -> dict[str, Callable[[Source], DataFrame]]:
         "view_regional_delta": view_regional_delta,
         "category_orders_merged": category_orders_merged,
         "reload_generations": reload_generations,
+        "attendance_summary_saved": attendance_summary_saved,
+        "category_revenue_saved": category_revenue_saved,
+        "lookup_ranges": lookup_ranges,
         "upsert_subset": upsert_subset,
         "upsert_unique_key": upsert_unique_key,
         "upsert_two_keys": upsert_two_keys,

@@ -1,0 +1,101 @@
+"""Saved layouts: joins that move no row, and lookups that open few files."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeloom.operators import skipping
+from changeloom.operators.colocated import Colocated
+
+
+def plan(frame):
+    return frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+
+
+@pytest.fixture()
+def shop(spark, folder):
+    rng = random.Random(2)
+    facts = [(i, 7 if rng.random() < 1 / 3 else rng.choice([None, *range(60)]), i % 5) for i in range(6000)]
+    left = spark.createDataFrame(facts, "id bigint, product_id bigint, quantity int")
+    right = spark.createDataFrame([(k, f"c{(k or 0) % 3}") for k in [*range(50), None]], "product_id bigint, category string")
+    saved = Colocated("shop_test", folder, "product_id", 8, 4)
+    saved.save(left, right)
+    yield left, right, saved
+    saved.drop(spark)
+
+
+def test_join_equals_the_plain_one_and_moves_nothing(spark, shop):
+    left, right, saved = shop
+    rows = sorted(map(tuple, saved.joined(spark).select("id", "product_id", "quantity", "category").collect()))
+    assert rows == sorted(map(tuple, left.join(right, "product_id").select("id", "product_id", "quantity", "category").collect()))
+    text = plan(saved.joined(spark))
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+    revenue = saved.joined(spark).groupBy("product_id").agg(F.sum("quantity"))
+    assert plan(revenue).count("Exchange (") <= 1
+
+
+def test_hot_key_is_spread(spark, shop):
+    _, _, saved = shop
+    assert [r[0] for r in spark.table("shop_test_hot").collect()] == [7]
+    sizes = spark.table("shop_test_facts").where("product_id = 7").groupBy("_salt").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 800
+    assert spark.table("shop_test_dimension").where("product_id = 7").count() == 4 and spark.table("shop_test_dimension").where("product_id = 8").count() == 1
+
+
+def test_more_facts(spark, shop):
+    left, right, saved = shop
+    more = spark.createDataFrame([(9000 + i, 7, 1) for i in range(20)], left.schema)
+    saved.add(more)
+    assert saved.joined(spark).count() == left.unionByName(more).join(right, "product_id").count()
+    assert "Exchange" not in plan(saved.joined(spark))
+
+
+# Skipping
+
+
+def test_lookup_reads_few_files_of_many(spark, folder):
+    rows = spark.range(20_000).selectExpr("id * 3 AS k", "concat('v', id) AS v")
+    skipping.write(rows, folder, "k", 200)
+    files = len(spark.read.parquet(f"{folder}/rows").inputFiles())
+    assert files >= 150
+    keys = [3 * i for i in (0, 5, 4000, 4001, 9999, 12_345, 17_000, 19_998, 19_999)] + [1, None]
+    wanted = spark.createDataFrame([(k,) for k in [*keys, 0]], "k bigint")
+    found = skipping.lookup(spark, folder, wanted, "k", rows.schema)
+    assert sorted(tuple(r) for r in found.collect()) == sorted((k, f"v{k // 3}") for k in keys if k is not None and k % 3 == 0)
+    assert "PartitionFilters: [key_range" in plan(found)
+    assert 1 <= read_files(found) <= 10
+
+
+def read_files(frame):
+    """Files that the scan of the rows has opened."""
+    executed = frame._jdf.queryExecution().executedPlan()
+    text, todo, most = [], [executed], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        text.append(name)
+        if name.startswith("Scan parquet"):
+            metric = node.metrics().get("numFiles")
+            if metric.isDefined():
+                most = max(most, metric.get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_null_keys_empty_tables_and_ties(spark, folder):
+    rows = spark.createDataFrame([(None, "n"), (5, "a"), (5, "b"), *[(5, "c")] * 50], "k bigint, v string")
+    skipping.write(rows, folder, "k", 8)
+    found = skipping.lookup(spark, folder, spark.createDataFrame([(5,), (5,), (None,)], "k bigint"), "k", rows.schema)
+    assert found.count() == 52
+    assert skipping.lookup(spark, folder, spark.createDataFrame([(6,)], "k bigint"), "k", rows.schema).count() == 0
+    assert skipping.lookup(spark, folder, rows.select("k").limit(0), "k", rows.schema).count() == 0
