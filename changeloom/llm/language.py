@@ -107,9 +107,10 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     languages = sorted(lang for lang, _ in shares)
     if not shares:
         return Model([], [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))] * (LONGEST + 1))
-    # A row for each language.
-    dealt = spark.createDataFrame([(lang, share, languages.index(lang)) for lang, share in shares], "lang string, share bigint, place int")
-    sample = known.join(dealt, "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) < F.col("share"))
+    # Looked up in a map of one entry for each language: a join would move the texts by language, of which there are few.
+    share = F.create_map(*[F.lit(x) for lang, part in shares for x in (lang, part)])[F.col("lang")]
+    place = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])[F.col("lang")]
+    sample = known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) < share).select("text", place.alias("place"))
     words = sample.select("place", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
     path = work_path(spark, "words")
     words.groupBy("place", "word").count().write.parquet(path)
