@@ -373,7 +373,7 @@ def own_ddl(s: Source) -> DataFrame:
     for name, key in keys.items():
         columns = [f"  `{f.name}` {SOURCE_TYPES.get(f.dataType.simpleString(), 'JSON')}" for f in s.read(name).schema.fields]
         texts.append(f"-- {name}\nCREATE TABLE IF NOT EXISTS `shop`.`{name}` (\n" + ",\n".join([*columns, f"  PRIMARY KEY ({', '.join(key)})"]) + "\n) ENGINE=x;")
-    return s.spark.createDataFrame([(text,) for text in texts], "ddl string")
+    return s.spark.range(1).select(F.explode(F.array(*[F.lit(text) for text in texts])).alias("ddl"))
 
 
 def registry_from_ddl(s: Source) -> DataFrame:
@@ -384,7 +384,8 @@ def registry_from_ddl(s: Source) -> DataFrame:
     for table in registry:
         rows = captured(s.read(table.name)).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in table.row_type.fields])
         filled = rows.agg(*[F.count(f"`{f.name}`").alias(f.name) for f in table.row_type.fields])
-        counts.append(filled.unpivot([], filled.columns, "column_name", "filled").withColumn("table_name", F.lit(table.name)))
+        listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("filled")) for c in filled.columns])
+        counts.append(filled.select(F.explode(listed).alias("c")).select("c.*", F.lit(table.name).alias("table_name")))
     columns = ddl.types_of(ddl.columns_of(texts)).withColumn("is_key", F.col("key_position").isNotNull()).drop("column_type", "key_position")
     return columns.join(reduce(DataFrame.unionByName, counts), ["table_name", "column_name"])
 

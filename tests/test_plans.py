@@ -30,7 +30,7 @@ def test_no_python_no_cross_join_no_expand(spark, no_broadcast, name):
     text = plan(queries()[name](spark, FOLDER))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "Generate explode_outer"):
         assert operator not in text
-    assert "SinglePartition" not in text or name in ("table_counts", "registry_replicate", "empty_bootstrap")
+    assert "SinglePartition" not in text or name in ("table_counts", "registry_replicate", "registry_from_ddl", "empty_bootstrap")
 
 
 def test_filters_and_columns_reach_the_scan(spark, folder):
