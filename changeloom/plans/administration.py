@@ -11,9 +11,10 @@ from changeloom.plans.views import View
 def dossier_summary(dossiers: DataFrame, unit: str = "us") -> DataFrame:
     """Dossiers by status and type with their mean processing time in days; open dossiers do not count in it."""
     known = dossiers.where(F.col("dossier_id").isNotNull() & F.col("submitted_at").isNotNull())
-    # Whole units are summed, so that the mean does not depend on the order of the rows.
-    spent = F.col("processed_at") - F.col("submitted_at")
-    mean = F.sum(spent) / F.count(spent)
+    # Whole units are summed, so that the mean does not depend on the order of the rows; as decimals, as a bigint holds
+    # the microseconds of some ten thousand long dossiers only.
+    spent = F.col("processed_at").cast("decimal(20,0)") - F.col("submitted_at").cast("decimal(20,0)")
+    mean = F.sum(spent).cast("double") / F.count(spent)
     return known.groupBy("status", "procedure_type").agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.when(F.col("is_deleted") == 0, 1).otherwise(0)).alias("active"),

@@ -242,6 +242,12 @@ def test_dossier_summary(spark, admin_views):
     assert {r.avg_days for r in as_millis.collect()} == {3875.0, None, 4958.33}
 
 
+def test_dossier_days_beyond_a_bigint_of_microseconds(spark):
+    year = 365 * 86_400_000_000
+    each = spark.range(4).selectExpr("concat('D', id) AS dossier_id", f"-{100_000 * year}L AS submitted_at", f"{100_000 * year}L AS processed_at", "'A' AS status", "'B' AS procedure_type", "0 AS is_deleted")
+    assert rows(administration.dossier_summary(each)) == {("A", "B", 4, 4, 73_000_000.0)}
+
+
 def test_alerts_and_registrations(admin_views):
     assert rows(admin_views["alert_dashboard"]) == {
         ("WARNING", "NEW", "DOSSIER_OVERDUE", 2, 2),
