@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from changeloom.llm import jaccard_join, mixing, sharding
 from changeloom.llm.components import components
@@ -72,6 +73,24 @@ def test_pivots_of_a_large_region_link(spark, monkeypatch):
     assert found == classes(rows)
 
 
+def test_rows_sent_to_the_driver_do_not_grow(spark, monkeypatch):
+    sent = []
+    for name in ("collect", "toPandas"):
+        given = getattr(DataFrame, name)
+        monkeypatch.setattr(DataFrame, name, lambda self, given=given: (sent.append(len(out := given(self))), out)[1])
+    pairs = [(2 * i + k, " ".join(f"w{i}x{j if j < 39 else j + k}" for j in range(40))) for i in range(200) for k in range(2)]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string").repartition(4)
+    found = jaccard_join.join(docs)
+    most = max(sent)
+    assert found.where("component_id = doc_id - doc_id % 2").count() == 400 and most <= 64
+
+
+@pytest.mark.parametrize("slots", [[], [0, 1, 7, 8, 32767, 32768, 32768, (1 << 21) - 1]])
+def test_bits_of_slots(spark, slots):
+    packed = jaccard_join._bits(spark.createDataFrame([(x,) for x in slots], "slot bigint"))
+    assert np.flatnonzero(np.unpackbits(packed, bitorder="little")).tolist() == sorted(set(slots))
+
+
 def test_join_of_odd_rows(spark, docs):
     rows = jaccard_join.join(docs).collect()
     assert len(rows) == docs.count()
