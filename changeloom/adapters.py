@@ -29,6 +29,11 @@ class Source:
         """Rows about to be turned into messages, dealt evenly over all cores."""
         return frame.repartition(self.spark.sparkContext.defaultParallelism)
 
+    def spread_few(self, read: DataFrame) -> DataFrame:
+        """The same for a table as it is read, where it has fewer pieces than there are cores; others stay where they are."""
+        pieces = read._jdf.queryExecution().toRdd().getNumPartitions()
+        return self.spread(read) if pieces < self.spark.sparkContext.defaultParallelism else read
+
     # Personnel
 
     def employees(self) -> DataFrame:

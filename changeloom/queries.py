@@ -29,7 +29,7 @@ from changeloom.operators.colocated import Colocated
 from changeloom.operators.upsert import append, reload, upsert, upsert_any
 from changeloom.plans import administration as adm, incremental, personnel, sales, transforms, views
 from changeloom.registry import ADMIN, CRM, DEMO, HRM, HRM_BASIC, Registry, Table, hrm_reduced, with_times
-from changeloom.session import work_path
+from changeloom.session import dropping_shuffles, work_path
 from changeloom.sources.changelog import (
     bad_messages,
     changes,
@@ -319,11 +319,11 @@ def checksum(rows: DataFrame) -> list[Column]:
 
 def _versions(s: Source, table: Table, topic: str) -> DataFrame:
     """A given table as messages; line items that share a key are versions of it, in the order of their columns."""
-    rows, nth = s.read(table.name), F.lit(0)
+    rows, nth = s.spread_few(s.read(table.name)), F.lit(0)
     if table.name == "lineitem":
+        rows = s.read(table.name)
         nth = F.row_number().over(Window.partitionBy(*table.key).orderBy(*[F.col(c).asc_nulls_first() for c in rows.columns]))
-    numbered = captured(s.spread(rows.withColumn("_nth", nth.cast("bigint"))))
-    return versioned_log(numbered, table, topic, "_nth")
+    return versioned_log(captured(rows.withColumn("_nth", nth.cast("bigint"))), table, topic, "_nth")
 
 
 def _given_log(s: Source, registry: Registry) -> DataFrame:
@@ -337,11 +337,13 @@ def _restored(s: Source, table: Table, rows: DataFrame) -> DataFrame:
 
 
 def _reports(s: Source, registry: Registry, current: Callable[[Table], DataFrame]) -> DataFrame:
-    reports = []
-    for table in registry:
-        rows = _restored(s, table, current(table))
-        reports.append(rows.agg(*checksum(rows)).select(F.lit(table.name).alias("tbl"), "rows", "checksum"))
-    return reduce(DataFrame.unionByName, reports)
+    """A row for each table. They are made one after the other, so that the disks hold the exchanges of one table at a time."""
+    path = work_path(s.spark, "reports")
+    with dropping_shuffles(s.spark):
+        for table in registry:
+            rows = _restored(s, table, current(table))
+            rows.agg(*checksum(rows)).select(F.lit(table.name).alias("tbl"), "rows", "checksum").write.mode("append").parquet(path)
+    return s.spark.read.schema("tbl string, rows bigint, checksum bigint").parquet(path)
 
 
 def registry_replicate(s: Source) -> DataFrame:

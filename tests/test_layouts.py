@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import random
+import re
+import time
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from changeloom import queries
+from changeloom.adapters import Source
 from changeloom.operators import skipping
 from changeloom.operators.colocated import Colocated
+from changeloom.registry import Registry, Table
 
 
 def plan(frame):
@@ -99,3 +105,23 @@ def test_null_keys_empty_tables_and_ties(spark, folder):
     assert found.count() == 52
     assert skipping.lookup(spark, folder, spark.createDataFrame([(6,)], "k bigint"), "k", rows.schema).count() == 0
     assert skipping.lookup(spark, folder, rows.select("k").limit(0), "k", rows.schema).count() == 0
+
+
+def test_reports_leave_no_exchange_behind(spark):
+    tables = {name: spark.range(50).selectExpr("id", f"concat('{name}', id) AS x") for name in ("one", "two", "three")}
+    source = SimpleNamespace(spark=spark, read=tables.get)
+    registry = Registry("m", "s", tuple(Table(name, ("id",), "id bigint, x string") for name in tables))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: set(re.findall(r"shuffle_(\d+)_", disk.getAllFiles().mkString(" ")))
+    before = held()
+    found = queries._reports(source, registry, lambda t: tables[t.name].groupBy("id").agg(F.max("x").alias("x")))
+    for _ in range(50):  # files are removed in the background
+        if left := held() - before:
+            time.sleep(0.1)
+    assert not left and {(r.tbl, r.rows) for r in found.collect()} == {(name, 50) for name in tables}
+
+
+def test_a_table_in_enough_pieces_is_not_dealt_anew(spark, folder):
+    source = Source(spark, folder)
+    plans = {n: source.spread_few(spark.range(0, 1000, 1, n))._jdf.queryExecution().executedPlan().toString() for n in (2, 12)}
+    assert "Exchange" in plans[2] and "Exchange" not in plans[12]
