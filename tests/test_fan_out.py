@@ -82,3 +82,9 @@ def test_hot_target_is_written_by_several_tasks(spark, folder):
 
 def test_nothing_arrived_yet(spark, folder):
     assert FanOut(KV, f"{folder}/none").current(spark, "kv").count() == 0
+
+
+def test_targets_are_kept_small(spark, folder):
+    kept = FanOut(KV, f"{folder}/out")
+    kept.write(raw(spark, random_log(9)), 0)
+    assert all(".zstd." in name for name in spark.read.parquet(f"{folder}/out").inputFiles())
